@@ -133,3 +133,198 @@ def with_ctes(*ctes: str, body: str) -> str:
 
 def base_ctes(as_of: str = AS_OF) -> list[str]:
     return [ADAPTER, STAGING, features_cte("features", as_of)]
+
+
+# --------------------------------------------------------------------------------------
+# Drift (baseline + PSI) in the reference's own terms: quantile_cont deciles, list filter
+# binning, frequency tables, full outer join of buckets.
+# --------------------------------------------------------------------------------------
+
+NULL_BUCKET = 1000000
+DECILES = "[" + ", ".join(f"{i / 10:.1f}" for i in range(11)) + "]"
+
+
+def _melt(src: str, cols: list[str], typ: str) -> str:
+    if typ == "DOUBLE":
+        sel = "CASE WHEN isnan(CAST({c} AS DOUBLE)) THEN NULL ELSE CAST({c} AS DOUBLE) END"
+    else:
+        sel = "CAST({c} AS VARCHAR)"
+    return " UNION ALL ".join(f"SELECT '{c}' AS feature, {sel.format(c=c)} AS value FROM {src}" for c in cols)
+
+
+def baseline_ctes(p: str, src: str, numeric: list[str], categorical: list[str], track_nulls: bool = True) -> str:
+    """CTE ``{p}`` = baseline bucket table of ``src`` (same columns as the Spark one)."""
+    ctes = []
+    parts = []
+    nr = "CASE WHEN n_rows > 0 THEN (n_rows - n_present) / CAST(n_rows AS DOUBLE) ELSE 0.0 END"
+    some_nulls = "(null_rate > 0 AND null_rate < 1)"
+    null_rate_out = "null_rate" if track_nulls else "CAST(NULL AS DOUBLE)"
+    if categorical:
+        ctes.append(f"{p}_mc AS ({_melt(src, categorical, 'VARCHAR')})")
+        ctes.append(
+            f"{p}_pc AS (SELECT feature, n_rows, n_present, {nr} AS null_rate FROM "
+            f"(SELECT feature, COUNT(*) AS n_rows, COUNT(value) AS n_present FROM {p}_mc GROUP BY feature))"
+        )
+        ctes.append(f"{p}_vc AS (SELECT feature, value, COUNT(*) AS cnt FROM {p}_mc WHERE value IS NOT NULL GROUP BY feature, value)")
+        ctes.append(
+            f"{p}_cm AS (SELECT pc.*, CAST(COALESCE(nd, 0) AS INTEGER) AS value_cardinality, "
+            f"(COALESCE(nd, 0) > 1 OR {some_nulls}) AS monitored FROM {p}_pc pc "
+            f"LEFT JOIN (SELECT feature, COUNT(*) AS nd FROM {p}_vc GROUP BY feature) USING (feature))"
+        )
+        parts.append(
+            f"SELECT v.feature, 'categorical' AS kind, CAST(ROW_NUMBER() OVER (PARTITION BY v.feature ORDER BY cnt DESC, value) AS INTEGER) AS bucket, "
+            f"value AS bucket_key, CAST(NULL AS DOUBLE) AS bucket_value, CAST(NULL AS DOUBLE) AS lo, CAST(NULL AS DOUBLE) AS hi, "
+            f"cnt / CAST(n_present AS DOUBLE) AS expected, {null_rate_out} AS null_rate, monitored, value_cardinality, n_rows "
+            f"FROM {p}_vc v JOIN {p}_cm m USING (feature)"
+        )
+        if track_nulls:
+            parts.append(
+                f"SELECT feature, 'categorical', {NULL_BUCKET}, '__null__', NULL, NULL, NULL, null_rate, null_rate, monitored, value_cardinality, n_rows FROM {p}_cm"
+            )
+    if numeric:
+        ctes.append(f"{p}_mn AS ({_melt(src, numeric, 'DOUBLE')})")
+        ctes.append(
+            f"{p}_pn AS (SELECT feature, n_rows, n_present, {nr} AS null_rate FROM "
+            f"(SELECT feature, COUNT(*) AS n_rows, COUNT(value) AS n_present FROM {p}_mn GROUP BY feature))"
+        )
+        ctes.append(f"{p}_vn AS (SELECT feature, value, COUNT(*) AS cnt FROM {p}_mn WHERE value IS NOT NULL GROUP BY feature, value)")
+        ctes.append(
+            f"{p}_kn AS (SELECT pn.*, COALESCE(nd, 0) AS nd, CASE WHEN COALESCE(nd, 0) <= 20 THEN 'discrete' ELSE 'numeric' END AS kind "
+            f"FROM {p}_pn pn LEFT JOIN (SELECT feature, COUNT(*) AS nd FROM {p}_vn GROUP BY feature) USING (feature))"
+        )
+        ctes.append(
+            f"{p}_dm AS (SELECT *, CAST(nd AS INTEGER) AS value_cardinality, "
+            f"CASE WHEN n_present = 0 THEN FALSE ELSE (nd > 1 OR {some_nulls}) END AS monitored FROM {p}_kn WHERE kind = 'discrete')"
+        )
+        ctes.append(
+            f"{p}_u AS (SELECT feature, list_sort(list_distinct(quantile_cont(value, {DECILES}))) AS u FROM {p}_mn "
+            f"WHERE value IS NOT NULL AND feature IN (SELECT feature FROM {p}_kn WHERE kind = 'numeric') GROUP BY feature)"
+        )
+        ctes.append(
+            f"{p}_edges AS (SELECT feature, CASE WHEN len(u) < 2 THEN ['-inf'::DOUBLE, 'inf'::DOUBLE] "
+            f"ELSE list_concat(['-inf'::DOUBLE], u[2:len(u)-1], ['inf'::DOUBLE]) END AS edges FROM {p}_u)"
+        )
+        ctes.append(
+            f"{p}_nm AS (SELECT k.*, e.edges, CAST(len(e.edges) - 1 AS INTEGER) AS value_cardinality, "
+            f"(len(e.edges) > 2 OR {some_nulls}) AS monitored FROM {p}_kn k JOIN {p}_edges e USING (feature))"
+        )
+        ctes.append(
+            f"{p}_nb AS (SELECT feature, len(list_filter(edges[2:len(edges)-1], lambda e: value >= e)) AS bucket, COUNT(*) AS cnt "
+            f"FROM {p}_mn JOIN {p}_edges USING (feature) WHERE value IS NOT NULL GROUP BY ALL)"
+        )
+        ctes.append(
+            f"{p}_slots AS (SELECT feature, CAST(b AS INTEGER) AS bucket, edges[b + 1] AS lo, edges[b + 2] AS hi, null_rate, monitored, value_cardinality, n_rows "
+            f"FROM (SELECT *, unnest(range(0, len(edges) - 1)) AS b FROM {p}_nm))"
+        )
+        parts.append(
+            f"SELECT v.feature, 'discrete', CAST(ROW_NUMBER() OVER (PARTITION BY v.feature ORDER BY cnt DESC, value) AS INTEGER), "
+            f"NULL, value, NULL, NULL, cnt / CAST(n_present AS DOUBLE), {null_rate_out}, monitored, value_cardinality, n_rows "
+            f"FROM {p}_vn v JOIN {p}_dm m USING (feature)"
+        )
+        parts.append(
+            f"SELECT s.feature, 'numeric', s.bucket, NULL, NULL, lo, hi, "
+            f"COALESCE(cnt, 0) / CAST(GREATEST(SUM(COALESCE(cnt, 0)) OVER (PARTITION BY s.feature), 1) AS DOUBLE), "
+            f"{null_rate_out}, monitored, value_cardinality, n_rows FROM {p}_slots s LEFT JOIN {p}_nb nb USING (feature, bucket)"
+        )
+        if track_nulls:
+            parts.append(
+                f"SELECT feature, 'discrete', {NULL_BUCKET}, '__null__', NULL, NULL, NULL, null_rate, null_rate, monitored, value_cardinality, n_rows FROM {p}_dm"
+            )
+            parts.append(
+                f"SELECT feature, 'numeric', {NULL_BUCKET}, '__null__', NULL, NULL, NULL, null_rate, null_rate, monitored, value_cardinality, n_rows FROM {p}_nm"
+            )
+    ctes.append(f"{p} AS ({' UNION ALL '.join(parts)})")
+    return ",\n".join(ctes)
+
+
+def psi_ctes(p: str, b: str, src: str, numeric: list[str], categorical: list[str]) -> str:
+    """CTE ``{p}`` = PSI per feature of ``src`` against baseline CTE ``{b}``."""
+    ctes = []
+    melts = []
+    if numeric:
+        ctes.append(f"{p}_mn AS ({_melt(src, numeric, 'DOUBLE')})")
+        melts.append(f"SELECT feature, COUNT(*) AS n_rows, COUNT(value) AS n_present FROM {p}_mn GROUP BY feature")
+    if categorical:
+        ctes.append(f"{p}_mc AS ({_melt(src, categorical, 'VARCHAR')})")
+        melts.append(f"SELECT feature, COUNT(*) AS n_rows, COUNT(value) AS n_present FROM {p}_mc GROUP BY feature")
+    ctes.append(
+        f"{p}_prof AS (SELECT feature, n_rows, CASE WHEN n_rows > 0 THEN (n_rows - n_present) / CAST(n_rows AS DOUBLE) ELSE 0.0 END AS c_null_rate "
+        f"FROM ({' UNION ALL '.join(melts)}))"
+    )
+    ctes.append(
+        f"{p}_meta AS (SELECT feature, ANY_VALUE(kind) AS kind, MAX(null_rate) AS b_null_rate, BOOL_OR(null_rate IS NOT NULL) AS tracks_nulls, "
+        f"CASE WHEN ANY_VALUE(kind) = 'numeric' AND BOOL_OR(bucket <> {NULL_BUCKET} AND expected IS NULL) THEN FALSE "
+        f"ELSE COALESCE(BOOL_OR(monitored), ANY_VALUE(kind) <> 'numeric') END AS monitored, "
+        f"COUNT(*) FILTER (WHERE bucket <> {NULL_BUCKET}) AS n_value_buckets FROM {b} GROUP BY feature)"
+    )
+    ctes.append(
+        f"{p}_edges AS (SELECT feature, list_concat(list(lo ORDER BY bucket), [max(hi)]) AS edges FROM {b} "
+        f"WHERE kind = 'numeric' AND bucket <> {NULL_BUCKET} GROUP BY feature)"
+    )
+    keyed = []
+    if numeric:
+        keyed.append(
+            f"SELECT m.feature, CASE WHEN k.kind = 'discrete' THEN 'd:' || CAST(value AS VARCHAR) "
+            f"ELSE 'n:' || CAST(len(list_filter(e.edges[2:len(e.edges)-1], lambda x: value >= x)) AS VARCHAR) END AS _k "
+            f"FROM {p}_mn m JOIN {p}_meta k USING (feature) LEFT JOIN {p}_edges e USING (feature) WHERE value IS NOT NULL"
+        )
+    if categorical:
+        keyed.append(
+            f"SELECT m.feature, 'c:' || CASE WHEN k.tracks_nulls THEN value ELSE COALESCE(value, 'nan') END AS _k "
+            f"FROM {p}_mc m JOIN {p}_meta k USING (feature) WHERE (CASE WHEN k.tracks_nulls THEN value ELSE COALESCE(value, 'nan') END) IS NOT NULL"
+        )
+    ctes.append(
+        f"{p}_shares AS (SELECT feature, _k, cnt / CAST(GREATEST(SUM(cnt) OVER (PARTITION BY feature), 1) AS DOUBLE) AS actual "
+        f"FROM (SELECT feature, _k, COUNT(*) AS cnt FROM ({' UNION ALL '.join(keyed)}) GROUP BY feature, _k))"
+    )
+    ctes.append(
+        f"{p}_b AS (SELECT b.feature, CASE b.kind WHEN 'categorical' THEN 'c:' || bucket_key WHEN 'discrete' THEN 'd:' || CAST(bucket_value AS VARCHAR) "
+        f"ELSE 'n:' || CAST(bucket AS VARCHAR) END AS _k, "
+        f"CASE WHEN b.kind = 'numeric' AND expected IS NULL THEN 1.0 / GREATEST(m.n_value_buckets, 1) ELSE expected END AS expected "
+        f"FROM {b} b JOIN {p}_meta m USING (feature) WHERE bucket <> {NULL_BUCKET})"
+    )
+    ctes.append(
+        f"{p}_m AS (SELECT m.*, COALESCE(pr.n_rows, 0) AS n_rows, COALESCE(pr.c_null_rate, 0.0) AS c_null_rate "
+        f"FROM {p}_meta m JOIN {p}_prof pr USING (feature))"
+    )
+    ctes.append(
+        f"{p}_al AS (SELECT COALESCE(b.feature, s.feature) AS feature, COALESCE(b.expected, 0.0) AS e, COALESCE(s.actual, 0.0) AS a "
+        f"FROM {p}_b b FULL OUTER JOIN {p}_shares s ON b.feature = s.feature AND b._k = s._k)"
+    )
+    ctes.append(
+        f"{p}_sc AS (SELECT al.feature, CASE WHEN tracks_nulls THEN e * (1.0 - b_null_rate) ELSE e END AS e, "
+        f"CASE WHEN tracks_nulls THEN a * (1.0 - c_null_rate) ELSE a END AS a FROM {p}_al al JOIN {p}_m USING (feature) "
+        f"UNION ALL SELECT feature, b_null_rate, c_null_rate FROM {p}_m WHERE tracks_nulls)"
+    )
+    ctes.append(
+        f"{p} AS (SELECT m.feature, m.kind, COALESCE(s.psi, 0.0) AS psi, m.monitored, m.tracks_nulls, m.b_null_rate AS baseline_null_rate, "
+        f"CASE WHEN m.tracks_nulls THEN m.c_null_rate END AS current_null_rate, m.n_rows AS current_rows FROM {p}_m m LEFT JOIN "
+        f"(SELECT feature, SUM((GREATEST(a, 1e-4) - GREATEST(e, 1e-4)) * ln(GREATEST(a, 1e-4) / GREATEST(e, 1e-4))) AS psi FROM {p}_sc GROUP BY feature) s "
+        f"USING (feature))"
+    )
+    return ",\n".join(ctes)
+
+
+def lineitem_period_cte(name: str, period: str) -> str:
+    every, cmp = (50, "<") if period == "baseline" else (4, ">=")
+    return (
+        f"{name} AS (SELECT CASE WHEN l_orderkey % {every} = 0 THEN NULL ELSE l_extendedprice END AS l_extendedprice, "
+        f"l_quantity, l_discount, l_tax, CASE WHEN l_orderkey % 40 = 1 THEN NULL ELSE l_returnflag END AS l_returnflag, "
+        f"l_linestatus FROM lineitem WHERE l_shipdate {cmp} TIMESTAMP '1998-07-01 00:00:00')"
+    )
+
+
+LINEITEM_NUMERIC = ["l_extendedprice", "l_quantity", "l_discount", "l_tax"]
+LINEITEM_CATEGORICAL = ["l_returnflag", "l_linestatus"]
+FEATURE_NUMERIC = [
+    "member_since_days", "contact_requests_last_30d", "avg_transaction_30d", "avg_transaction_90d",
+    "payment_failure_rate_30d", "payment_failure_rate_90d", "total_payment_attempts",
+    "days_since_last_successful_payment", "avg_engagement_30d", "avg_engagement_90d",
+    "campaign_participation_rate", "total_events", "events_last_30d", "events_last_90d", "renewal_count",
+]
+FEATURE_CATEGORICAL = ["membership_tier", "region", "preferred_channel"]
+
+
+def drift_feature_ctes() -> list[str]:
+    """fb = snapshot rebuilt as of the baseline day, fc = as of the current day."""
+    return [ADAPTER, STAGING, features_cte("fb", "2024-01-20", replay=True), features_cte("fc", "2024-01-30", replay=True)]

@@ -53,3 +53,71 @@ def score_features(features: DataFrame) -> DataFrame:
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_features(history(spark, sf_dir))
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Stand-in for reading a table the nightly job has already written.
+
+    Jobs downstream of the feature table (drift, quality, splits) read a stored partition in
+    production; here the partition is derived, so it is written once to the shared
+    checkpoint folder and read back, instead of being re-derived for every reference.
+    """
+    return df.checkpoint(eager=True)
+
+
+def replay_snapshot(spark: SparkSession, sf_dir: str, as_of: str, materialize: bool = True) -> DataFrame:
+    """customer_features rebuilt from the log as it stood on ``as_of``."""
+    df = feat.feature_snapshot(staged_events(spark, sf_dir), as_of, replay=True)
+    return stored(df) if materialize else df
+
+
+# Drift inputs at size: lineitem before/after a ship date.  Nulls are injected the way a
+# broken upstream join would (a CASE on the order key), at 2 % before and 25 % after, so the
+# null bucket has something to detect.
+DRIFT_SPLIT = "1998-07-01"
+LINEITEM_NUMERIC = ["l_extendedprice", "l_quantity", "l_discount", "l_tax"]
+LINEITEM_CATEGORICAL = ["l_returnflag", "l_linestatus"]
+FEATURE_NUMERIC = [
+    "member_since_days",
+    "contact_requests_last_30d",
+    "avg_transaction_30d",
+    "avg_transaction_90d",
+    "payment_failure_rate_30d",
+    "payment_failure_rate_90d",
+    "total_payment_attempts",
+    "days_since_last_successful_payment",
+    "avg_engagement_30d",
+    "avg_engagement_90d",
+    "campaign_participation_rate",
+    "total_events",
+    "events_last_30d",
+    "events_last_90d",
+    "renewal_count",
+]
+FEATURE_CATEGORICAL = ["membership_tier", "region", "preferred_channel"]
+BASELINE_DATE = "2024-01-20"
+CURRENT_DATE = "2024-01-30"
+
+
+def lineitem_period(spark: SparkSession, sf_dir: str, period: str) -> DataFrame:
+    from riskloom.sources.tables import read_table
+
+    li = read_table(
+        spark,
+        sf_dir,
+        "lineitem",
+        ["l_orderkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"],
+    )
+    split = F.lit(DRIFT_SPLIT + " 00:00:00").cast("timestamp_ntz")
+    if period == "baseline":
+        rows, every = li.where(F.col("l_shipdate") < split), 50
+    else:
+        rows, every = li.where(F.col("l_shipdate") >= split), 4
+    return rows.select(
+        F.when(F.col("l_orderkey") % every == 0, F.lit(None).cast("double")).otherwise(F.col("l_extendedprice")).alias("l_extendedprice"),
+        "l_quantity",
+        "l_discount",
+        "l_tax",
+        F.when(F.col("l_orderkey") % 40 == 1, F.lit(None).cast("string")).otherwise(F.col("l_returnflag")).alias("l_returnflag"),
+        "l_linestatus",
+    )
