@@ -26,10 +26,16 @@ def value_counts(df: DataFrame, groups: list[str], value: str) -> DataFrame:
     return df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def exact_quantiles(vc: DataFrame, groups: list[str], value: str, probs: list[float]) -> DataFrame:
-    """Quantiles from a value-count table: (groups…, q_index, prob, quantile)."""
+def exact_quantiles(
+    vc: DataFrame, groups: list[str], value: str, probs: list[float], sizes: DataFrame | None = None
+) -> DataFrame:
+    """Quantiles from a value-count table: (groups…, q_index, prob, quantile).
+
+    ``sizes`` (groups…, _n) may be passed when the caller already knows the number of
+    present values per group; otherwise it is summed from ``vc``.
+    """
     cum = running_sums(vc, groups, value, ["cnt"])
-    n = cum.select(*groups, F.col("total_cnt").alias("_n")).dropDuplicates(groups)
+    n = sizes if sizes is not None else vc.groupBy(*groups).agg(F.sum("cnt").alias("_n"))
     probs_arr = F.array(*[F.lit(float(p)) for p in probs])
     targets = n.select(
         *groups,

@@ -328,3 +328,23 @@ FEATURE_CATEGORICAL = ["membership_tier", "region", "preferred_channel"]
 def drift_feature_ctes() -> list[str]:
     """fb = snapshot rebuilt as of the baseline day, fc = as of the current day."""
     return [ADAPTER, STAGING, features_cte("fb", "2024-01-20", replay=True), features_cte("fc", "2024-01-30", replay=True)]
+
+
+DRIFT_HISTORY = """
+dh AS (SELECT CAST(snapshot_date AS TIMESTAMP) + INTERVAL 6 HOUR AS run_ts, snapshot_date,
+  CASE WHEN snapshot_date < DATE '2024-01-15' THEN 'churn-v1' ELSE 'churn-v2' END AS champion_model,
+  feature, psi, CAST(0.25 AS DOUBLE) AS threshold, psi > 0.25 AS breached, TRUE AS monitored
+  FROM (SELECT CAST(ts AS DATE) AS snapshot_date, event_type AS feature, AVG(value) / 200.0 AS psi FROM events GROUP BY ALL))"""
+
+PROMOTIONS = """
+pr AS (SELECT 'churn-predictor' AS model, CAST(d AS TIMESTAMP) + INTERVAL 5 HOUR AS run_ts, promoted
+  FROM (SELECT CAST(ts AS DATE) AS d, AVG(value) > 50 AS promoted FROM events WHERE event_type = 'purchase' GROUP BY 1))"""
+
+DEFECTIVE = """
+defective AS (
+  SELECT * EXCLUDE (renewal_count) FROM (
+    SELECT * REPLACE (CASE WHEN customer_id % 3 <> 2 THEN NULL ELSE avg_engagement_30d END AS avg_engagement_30d,
+                      'email' AS preferred_channel) FROM fc
+    UNION ALL
+    SELECT * REPLACE (CASE WHEN customer_id % 3 <> 2 THEN NULL ELSE avg_engagement_30d END AS avg_engagement_30d,
+                      'email' AS preferred_channel) FROM fc WHERE customer_id % 25 = 0))"""

@@ -56,3 +56,19 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+def materialize(df):
+    """Reliable checkpoint (shared ``spark.checkpoint.dir``) that computes ``df`` once.
+
+    A bare ``checkpoint()`` runs the plan twice (once for the action, once for the writer);
+    caching for the duration of the write avoids that.  The result reads from the written
+    files, so its lineage no longer reaches back to the inputs and a lost executor costs a
+    re-read, not a recompute.
+    """
+    from pyspark import StorageLevel
+
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.scalar import as_date
 from riskloom.operators import features as feat
+from riskloom.session import materialize
 from riskloom.sources.event_log import activity_log
 
 AS_OF = "2024-02-15"
@@ -62,7 +63,7 @@ def stored(df: DataFrame) -> DataFrame:
     production; here the partition is derived, so it is written once to the shared
     checkpoint folder and read back, instead of being re-derived for every reference.
     """
-    return df.checkpoint(eager=True)
+    return materialize(df)
 
 
 def replay_snapshot(spark: SparkSession, sf_dir: str, as_of: str, materialize: bool = True) -> DataFrame:
@@ -121,3 +122,89 @@ def lineitem_period(spark: SparkSession, sf_dir: str, period: str) -> DataFrame:
         F.when(F.col("l_orderkey") % 40 == 1, F.lit(None).cast("string")).otherwise(F.col("l_returnflag")).alias("l_returnflag"),
         "l_linestatus",
     )
+
+
+# Run histories: one run per day of the events table.
+def drift_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ml.drift_metrics-shaped history: run = day, feature = event type, PSI from the day's
+    mean value; the champion changes mid-month."""
+    from riskloom.sources.tables import read_table
+
+    ev = read_table(spark, sf_dir, "events", ["ts", "event_type", "value"])
+    day = F.to_date("ts")
+    agg = ev.groupBy(day.alias("snapshot_date"), F.col("event_type").alias("feature")).agg((F.avg("value") / 200.0).alias("psi"))
+    return agg.select(
+        (F.col("snapshot_date").cast("timestamp_ntz") + F.expr("INTERVAL 6 HOURS")).alias("run_ts"),
+        "snapshot_date",
+        F.when(F.col("snapshot_date") < as_date("2024-01-15"), "churn-v1").otherwise("churn-v2").alias("champion_model"),
+        "feature",
+        "psi",
+        F.lit(0.25).alias("threshold"),
+        (F.col("psi") > 0.25).alias("breached"),
+        F.lit(True).alias("monitored"),
+    )
+
+
+def promotion_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evaluation runs: one per day; promoted when that day's mean purchase value > 50."""
+    from riskloom.sources.tables import read_table
+
+    ev = read_table(spark, sf_dir, "events", ["ts", "event_type", "value"])
+    return ev.where(F.col("event_type") == "purchase").groupBy(F.to_date("ts").alias("d")).agg(
+        (F.avg("value") > 50).alias("promoted")
+    ).select(
+        F.lit("churn-predictor").alias("model"),
+        (F.col("d").cast("timestamp_ntz") + F.expr("INTERVAL 5 HOURS")).alias("run_ts"),
+        "promoted",
+    )
+
+
+def model_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registry rows per model version seen in the prediction log; every version still
+    carries role=champion (the state the demotion step repairs)."""
+    p = predictions(spark, sf_dir)
+    return p.groupBy("model_version").agg(F.min("predicted_at").alias("create_time")).select(
+        F.lit("churn-predictor").alias("display_name"),
+        "model_version",
+        "create_time",
+        F.create_map(F.lit("role"), F.lit("champion")).alias("labels"),
+    )
+
+
+def batch_jobs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(jobs, outputs): one scoring job per scored day; the newest day's job failed, so the
+    newest *successful* run is the one before it.  Outputs carry the score as JSON text."""
+    p = predictions(spark, sf_dir)
+    jobs = p.groupBy("snapshot_date", "model_version").agg(F.max("predicted_at").alias("create_time"))
+    newest = jobs.agg(F.max("snapshot_date")).scalar()
+    jobs = jobs.select(
+        F.concat(F.lit("job-"), F.date_format("snapshot_date", "yyyyMMdd")).alias("job_id"),
+        F.concat(F.lit("churn-batch-"), F.date_format("snapshot_date", "yyyyMMdd")).alias("display_name"),
+        F.lit("churn-predictor").alias("model"),
+        F.when(F.col("snapshot_date") == newest, "FAILED").otherwise("SUCCEEDED").alias("state"),
+        "create_time",
+    )
+    outputs = p.select(
+        F.concat(F.lit("job-"), F.date_format("snapshot_date", "yyyyMMdd")).alias("job_id"),
+        "customer_id",
+        "snapshot_date",
+        F.to_json(F.struct("churn_probability", "churn_prediction")).alias("prediction"),
+    )
+    return jobs, outputs
+
+
+def defective_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The current snapshot with the defects the gate exists for: a broken join nulls most
+    engagement values, an upstream default collapses the channel, a retried load duplicates
+    some customers, and one column disappears."""
+    cur = replay_snapshot(spark, sf_dir, CURRENT_DATE)
+    broken = cur.select(
+        *[
+            F.when(F.col("customer_id") % 3 != 2, F.lit(None).cast("double")).otherwise(F.col(c)).alias(c)
+            if c == "avg_engagement_30d"
+            else (F.lit("email").alias(c) if c == "preferred_channel" else F.col(c))
+            for c in cur.columns
+        ]
+    )
+    dup = broken.where(F.col("customer_id") % 25 == 0)
+    return broken.unionByName(dup).drop("renewal_count")
