@@ -348,3 +348,17 @@ defective AS (
     UNION ALL
     SELECT * REPLACE (CASE WHEN customer_id % 3 <> 2 THEN NULL ELSE avg_engagement_30d END AS avg_engagement_30d,
                       'email' AS preferred_channel) FROM fc WHERE customer_id % 25 = 0))"""
+
+
+def split_cte(src: str = "features", name: str = "split_rows") -> str:
+    return f"""{name} AS (
+  SELECT * EXCLUDE (feature_computed_at, latest_event_ts),
+    CASE WHEN PERCENT_RANK() OVER (PARTITION BY churned ORDER BY md5(CAST(customer_id AS VARCHAR))) < 0.8 THEN 'train' ELSE 'test' END AS split,
+    TIMESTAMP '2024-02-15 04:00:00' AS assigned_at
+  FROM {src})"""
+
+
+def folds_cte(src: str, name: str = "folds", k: int = 5, seed: int = 42) -> str:
+    return f"""{name} AS (
+  SELECT *, CAST((ROW_NUMBER() OVER (PARTITION BY churned ORDER BY md5('{seed}' || CAST(customer_id AS VARCHAR)), customer_id) - 1) % {k} AS INTEGER) AS fold
+  FROM {src})"""
