@@ -362,3 +362,50 @@ def folds_cte(src: str, name: str = "folds", k: int = 5, seed: int = 42) -> str:
     return f"""{name} AS (
   SELECT *, CAST((ROW_NUMBER() OVER (PARTITION BY churned ORDER BY md5('{seed}' || CAST(customer_id AS VARCHAR)), customer_id) - 1) % {k} AS INTEGER) AS fold
   FROM {src})"""
+
+
+def scores_cte(period: str | None = None, name: str = "scores") -> str:
+    where = ""
+    if period == "train":
+        where = "WHERE l_shipdate < TIMESTAMP '1998-07-01 00:00:00'"
+    elif period == "test":
+        where = "WHERE l_shipdate >= TIMESTAMP '1998-07-01 00:00:00'"
+    return f"""{name} AS (SELECT 'champion' AS model, CAST(l_returnflag = 'R' AS INTEGER) AS y, l_discount AS score FROM lineitem {where}
+  UNION ALL SELECT 'challenger', CAST(l_returnflag = 'R' AS INTEGER), l_extendedprice / CAST(120000.0 AS DOUBLE) FROM lineitem {where})"""
+
+
+def curve_cte(src: str = "scores", name: str = "curve") -> str:
+    return f"""{name} AS (SELECT *, SUM(pos) OVER w AS cum_pos, SUM(neg) OVER w AS cum_neg,
+    SUM(pos) OVER (PARTITION BY model) AS total_pos, SUM(neg) OVER (PARTITION BY model) AS total_neg
+  FROM (SELECT model, score, SUM(y) AS pos, SUM(1 - y) AS neg FROM {src} GROUP BY ALL)
+  WINDOW w AS (PARTITION BY model ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+
+
+def pr_points_cte(curve: str = "curve", name: str = "pr") -> str:
+    return f"""{name} AS (SELECT model, score AS threshold, cum_pos / CAST(cum_pos + cum_neg AS DOUBLE) AS precision,
+  cum_pos / CAST(total_pos AS DOUBLE) AS recall FROM {curve} WHERE cum_pos - pos < total_pos)"""
+
+
+def threshold_cte(pr: str = "pr", name: str = "thr", target: float = 0.8) -> str:
+    return f"""{name} AS (SELECT a.model, COALESCE(q.t, a.t) AS threshold FROM
+  (SELECT model, arg_min(threshold, (-recall, threshold)) AS t FROM {pr} GROUP BY model) a LEFT JOIN
+  (SELECT model, arg_min(threshold, (-precision, threshold)) AS t FROM {pr} WHERE recall >= {target} GROUP BY model) q USING (model))"""
+
+
+def bundle_cte(scores: str, curve: str, thr: str, name: str = "bundle") -> str:
+    return f"""{name} AS (
+  SELECT a.model, a.pr_auc, a.roc_auc, f.threshold, f.f1 FROM
+  (SELECT model, SUM(pos * (cum_pos / CAST(cum_pos + cum_neg AS DOUBLE))) / CAST(ANY_VALUE(total_pos) AS DOUBLE) AS pr_auc,
+     SUM(neg * (cum_pos - pos + pos / 2.0)) / (CAST(ANY_VALUE(total_pos) AS DOUBLE) * ANY_VALUE(total_neg)) AS roc_auc FROM {curve} GROUP BY model) a
+  JOIN (SELECT model, threshold, CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / CAST(2 * tp + fp + fn AS DOUBLE) ELSE 0.0 END AS f1 FROM
+     (SELECT s.model, t.threshold, COUNT(*) FILTER (WHERE s.score >= t.threshold AND s.y = 1) AS tp,
+        COUNT(*) FILTER (WHERE s.score >= t.threshold AND s.y = 0) AS fp, COUNT(*) FILTER (WHERE s.score < t.threshold AND s.y = 1) AS fn
+      FROM {scores} s JOIN {thr} t USING (model) GROUP BY ALL)) f USING (model))"""
+
+
+def importance_cte(period: str, name: str) -> str:
+    cmp = "<" if period == "train" else ">="
+    feats = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
+    sel = ", ".join(f"abs(corr(CAST({c} AS DOUBLE), CAST(l_returnflag = 'R' AS DOUBLE))) AS {c}" for c in feats)
+    unions = " UNION ALL ".join(f"SELECT '{c}' AS feature, {c} AS importance FROM {name}_row" for c in feats)
+    return f"{name}_row AS (SELECT {sel} FROM lineitem WHERE l_shipdate {cmp} TIMESTAMP '1998-07-01 00:00:00'),\n{name} AS ({unions})"

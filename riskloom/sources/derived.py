@@ -208,3 +208,35 @@ def defective_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     dup = broken.where(F.col("customer_id") % 25 == 0)
     return broken.unionByName(dup).drop("renewal_count")
+
+
+# Scores for metric jobs: label "returned" on lineitem; the champion scores with the
+# discount (heavy ties), the challenger with the scaled extended price (few ties).
+IMPORTANCE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
+
+
+def lineitem_scores(spark: SparkSession, sf_dir: str, period: str | None = None) -> DataFrame:
+    from riskloom.sources.tables import read_table
+
+    li = read_table(spark, sf_dir, "lineitem", ["l_returnflag", "l_discount", "l_extendedprice", "l_shipdate"])
+    split = F.lit(DRIFT_SPLIT + " 00:00:00").cast("timestamp_ntz")
+    if period == "train":
+        li = li.where(F.col("l_shipdate") < split)
+    elif period == "test":
+        li = li.where(F.col("l_shipdate") >= split)
+    y = (F.col("l_returnflag") == "R").cast("int").alias("y")
+    champ = li.select(F.lit("champion").alias("model"), y, F.col("l_discount").alias("score"))
+    chall = li.select(F.lit("challenger").alias("model"), y, (F.col("l_extendedprice") / F.lit(120000.0)).alias("score"))
+    return champ.unionByName(chall)
+
+
+def lineitem_importances(spark: SparkSession, sf_dir: str, period: str) -> DataFrame:
+    """(feature, importance) = |corr(feature, returned)| over one period: one global agg."""
+    from riskloom.sources.tables import read_table
+
+    li = read_table(spark, sf_dir, "lineitem", [*IMPORTANCE_FEATURES, "l_returnflag", "l_shipdate"])
+    split = F.lit(DRIFT_SPLIT + " 00:00:00").cast("timestamp_ntz")
+    li = li.where(F.col("l_shipdate") < split) if period == "train" else li.where(F.col("l_shipdate") >= split)
+    y = (F.col("l_returnflag") == "R").cast("double")
+    row = li.agg(*[F.abs(F.corr(F.col(c).cast("double"), y)).alias(c) for c in IMPORTANCE_FEATURES])
+    return row.unpivot([], IMPORTANCE_FEATURES, "feature", "importance")
