@@ -409,3 +409,67 @@ def importance_cte(period: str, name: str) -> str:
     sel = ", ".join(f"abs(corr(CAST({c} AS DOUBLE), CAST(l_returnflag = 'R' AS DOUBLE))) AS {c}" for c in feats)
     unions = " UNION ALL ".join(f"SELECT '{c}' AS feature, {c} AS importance FROM {name}_row" for c in feats)
     return f"{name}_row AS (SELECT {sel} FROM lineitem WHERE l_shipdate {cmp} TIMESTAMP '1998-07-01 00:00:00'),\n{name} AS ({unions})"
+
+
+MART_INDICATORS = [
+    "payment_failure_rate_30d", "payment_failure_rate_90d", "days_since_last_successful_payment",
+    "avg_engagement_30d", "avg_engagement_90d", "contact_requests_last_30d", "campaign_participation_rate",
+    "events_last_30d", "events_last_90d", "renewal_count",
+]
+DRIVERS = [
+    ("payment_failure_rate_30d", "Payment failures (30d)", True, 0),
+    ("days_since_last_successful_payment", "Days since last successful payment", True, 1),
+    ("contact_requests_last_30d", "Support contacts (30d)", True, 2),
+    ("avg_engagement_30d", "Engagement score (30d)", False, 3),
+    ("events_last_30d", "Activity events (30d)", False, 4),
+    ("campaign_participation_rate", "Campaign participation", False, 5),
+]
+
+MART = f"""
+mart AS (
+  SELECT p.customer_id, p.churn_probability, p.churn_prediction, p.model_version, p.snapshot_date, p.predicted_at,
+    f.membership_tier, f.region, f.preferred_channel, f.member_since_days,
+    f.avg_transaction_30d AS monthly_value, f.avg_transaction_90d AS monthly_value_90d,
+    {", ".join("f." + c for c in MART_INDICATORS)}
+  FROM scored p JOIN feature_history f ON p.customer_id = f.customer_id AND p.snapshot_date = f.snapshot_date
+  WHERE p.snapshot_date = (SELECT MAX(snapshot_date) FROM scored) AND f.snapshot_date = (SELECT MAX(snapshot_date) FROM scored))"""
+
+BANDED = """
+banded AS (SELECT *, CASE WHEN churn_probability >= 0.7 THEN 'High' WHEN churn_probability >= 0.4 THEN 'Medium'
+  WHEN churn_probability IS NOT NULL THEN 'Low' END AS risk_band FROM mart)"""
+
+COHORT = (
+    "ref AS (SELECT feature, CASE WHEN q[2] > 0 THEN q[2] WHEN hw THEN q[3] ELSE q[1] END AS cohort FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, {'TRUE' if h else 'FALSE'} AS hw, quantile_cont(CAST({c} AS DOUBLE), [0.1, 0.5, 0.9]) AS q FROM mart WHERE {c} IS NOT NULL"
+        for c, _, h, _ in DRIVERS
+    )
+    + "))"
+)
+
+INDICATORS = (
+    "drv AS (SELECT * FROM (VALUES "
+    + ", ".join(f"('{c}', '{label}', {'TRUE' if h else 'FALSE'}, {i})" for c, label, h, i in DRIVERS)
+    + ") t(feature, label, higher_is_worse, driver_order)),\n"
+    + "dmelt AS ("
+    + " UNION ALL ".join(f"SELECT customer_id, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM mart" for c, *_ in DRIVERS)
+    + "),\n"
+    + """fired AS (SELECT m.customer_id, m.feature, d.label, m.value, r.cohort,
+    CASE WHEN m.value IS NULL AND m.feature = 'days_since_last_successful_payment' THEN 'inf'::DOUBLE
+         WHEN d.higher_is_worse THEN (CASE WHEN r.cohort > 0 THEN m.value / r.cohort ELSE 'inf'::DOUBLE END)
+         ELSE (CASE WHEN m.value > 0 THEN r.cohort / m.value ELSE 'inf'::DOUBLE END) END AS severity, d.driver_order
+  FROM dmelt m JOIN drv d USING (feature) LEFT JOIN ref r USING (feature)
+  WHERE (m.value IS NULL AND m.feature = 'days_since_last_successful_payment')
+     OR (m.value IS NOT NULL AND r.cohort IS NOT NULL AND (CASE WHEN d.higher_is_worse THEN (CASE WHEN r.cohort > 0 THEN m.value >= r.cohort * 1.5 ELSE m.value > 0 END)
+                                                              ELSE (CASE WHEN r.cohort > 0 THEN m.value <= r.cohort / 1.5 ELSE FALSE END) END)))"""
+)
+
+DAILY = """
+daily AS (SELECT snapshot_date, COUNT(*) AS customers_scored, COUNT(*) FILTER (WHERE churn_prediction) AS predicted_churners,
+  COUNT(*) FILTER (WHERE churn_probability >= 0.7) AS high_risk_customers, AVG(churn_probability) AS mean_churn_probability,
+  COUNT(*) FILTER (WHERE churn_prediction) / CAST(NULLIF(COUNT(*), 0) AS DOUBLE) AS predicted_churn_rate,
+  COUNT(DISTINCT model_version) AS model_versions_used, MAX(predicted_at) AS last_predicted_at FROM scored GROUP BY snapshot_date)"""
+
+
+def risk_base() -> list[str]:
+    return [ADAPTER, STAGING, history_cte(), PREDICTIONS, MART]
