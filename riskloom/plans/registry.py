@@ -84,4 +84,4 @@ def oracle_sql() -> dict[str, str]:
 
 def _load() -> None:
     # Importing the query modules fills REGISTRY.
-    from riskloom.plans import queries_drift, queries_features, queries_metrics, queries_quality, queries_risk, queries_splits  # noqa: F401
+    from riskloom.plans import queries_drift, queries_explore, queries_features, queries_metrics, queries_quality, queries_risk, queries_splits  # noqa: F401
