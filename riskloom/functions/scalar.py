@@ -25,6 +25,7 @@ __all__ = [
     "threshold_label",
     "as_date",
     "format_indicator_value",
+    "safe_corr",
 ]
 
 
@@ -112,3 +113,14 @@ def format_indicator_value(v: Column, fmt: str) -> Column:
     if fmt == "int":
         return F.when(v.isNull(), "—").otherwise(F.format_number(F.round(v, 0), 0))
     return F.when(v.isNull(), "—").otherwise(F.format_number(v, 1))
+
+
+def safe_corr(a: Column | str, b: Column | str) -> Column:
+    """Pearson r as an aggregate that is NULL (not an ANSI divide-by-zero error) when either
+    side is constant or has fewer than two pairs.  Pairs with a NULL on either side are
+    skipped, as ``corr`` does."""
+    a = F.col(a) if isinstance(a, str) else a
+    b = F.col(b) if isinstance(b, str) else b
+    both = a.isNotNull() & b.isNotNull()
+    x, y = F.when(both, a.cast("double")), F.when(both, b.cast("double"))
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))

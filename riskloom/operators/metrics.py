@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.functions.scalar import safe_corr
+
 from riskloom.operators.ordered import log_bucket, running_sums
 
 # Fixed values of the gate.
@@ -128,7 +130,7 @@ def spearman(current: DataFrame, baseline: DataFrame, key: str = "feature", valu
     features or either side is constant."""
     j = current.select(key, F.col(value).alias("a")).join(baseline.select(key, F.col(value).alias("b")), key)
     r = average_ranks(average_ranks(j, "a", out="ra"), "b", out="rb")
-    agg = r.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("ra").alias("sa"), F.stddev_pop("rb").alias("sb"), F.corr("ra", "rb").alias("c"))
+    agg = r.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("ra").alias("sa"), F.stddev_pop("rb").alias("sb"), safe_corr("ra", "rb").alias("c"))
     return agg.select(F.when((F.col("n") >= 2) & (F.col("sa") > 0) & (F.col("sb") > 0), F.col("c")).alias("rank_correlation"), F.col("n").alias("shared_features"))
 
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.functions.scalar import as_date
+from riskloom.functions.scalar import as_date, safe_corr
 from riskloom.operators import features as feat
 from riskloom.session import materialize
 from riskloom.sources.event_log import activity_log
@@ -238,5 +238,5 @@ def lineitem_importances(spark: SparkSession, sf_dir: str, period: str) -> DataF
     split = F.lit(DRIFT_SPLIT + " 00:00:00").cast("timestamp_ntz")
     li = li.where(F.col("l_shipdate") < split) if period == "train" else li.where(F.col("l_shipdate") >= split)
     y = (F.col("l_returnflag") == "R").cast("double")
-    row = li.agg(*[F.abs(F.corr(F.col(c).cast("double"), y)).alias(c) for c in IMPORTANCE_FEATURES])
+    row = li.agg(*[F.abs(safe_corr(F.col(c).cast("double"), y)).alias(c) for c in IMPORTANCE_FEATURES])
     return row.unpivot([], IMPORTANCE_FEATURES, "feature", "importance")
