@@ -233,7 +233,8 @@ def baseline_ctes(p: str, src: str, numeric: list[str], categorical: list[str],
             parts.append(
                 f"SELECT feature, 'numeric', {NULL_BUCKET}, '__null__', NULL, NULL, NULL, null_rate, null_rate, monitored, value_cardinality, n_rows FROM {p}_nm"
             )
-    ctes.append(f"{p} AS ({' UNION ALL '.join(parts)})")
+    cols = "feature, kind, bucket, bucket_key, bucket_value, lo, hi, expected, null_rate, monitored, value_cardinality, n_rows"
+    ctes.append(f"{p} AS (SELECT * FROM ({' UNION ALL '.join(parts)}) AS _u({cols}))")
     return ",\n".join(ctes)
 
 
@@ -252,10 +253,10 @@ def psi_ctes(p: str, b: str, src: str, numeric: list[str], categorical: list[str
         f"FROM ({' UNION ALL '.join(melts)}))"
     )
     ctes.append(
-        f"{p}_meta AS (SELECT feature, ANY_VALUE(kind) AS kind, MAX(null_rate) AS b_null_rate, BOOL_OR(null_rate IS NOT NULL) AS tracks_nulls, "
-        f"CASE WHEN ANY_VALUE(kind) = 'numeric' AND BOOL_OR(bucket <> {NULL_BUCKET} AND expected IS NULL) THEN FALSE "
-        f"ELSE COALESCE(BOOL_OR(monitored), ANY_VALUE(kind) <> 'numeric') END AS monitored, "
-        f"COUNT(*) FILTER (WHERE bucket <> {NULL_BUCKET}) AS n_value_buckets FROM {b} GROUP BY feature)"
+        f"{p}_meta AS (SELECT bb.feature, ANY_VALUE(bb.kind) AS kind, MAX(bb.null_rate) AS b_null_rate, BOOL_OR(bb.null_rate IS NOT NULL) AS tracks_nulls, "
+        f"CASE WHEN ANY_VALUE(bb.kind) = 'numeric' AND BOOL_OR(bb.bucket <> {NULL_BUCKET} AND bb.expected IS NULL) THEN FALSE "
+        f"ELSE COALESCE(BOOL_OR(bb.monitored), ANY_VALUE(bb.kind) <> 'numeric') END AS monitored, "
+        f"COUNT(*) FILTER (WHERE bb.bucket <> {NULL_BUCKET}) AS n_value_buckets FROM {b} bb GROUP BY bb.feature)"
     )
     ctes.append(
         f"{p}_edges AS (SELECT feature, list_concat(list(lo ORDER BY bucket), [max(hi)]) AS edges FROM {b} "

@@ -126,3 +126,82 @@ def dr10_verdict(spark, sf_dir):
 def dr10_feature_verdict(spark, sf_dir):
     cur = D.replay_snapshot(spark, sf_dir, D.CURRENT_DATE)
     return drift.drift_verdict(_frozen_features(spark, sf_dir), cur, D.FEATURE_NUMERIC, D.FEATURE_CATEGORICAL)
+
+
+# ----------------------------------------------------------------- score drift and decision
+_SCORE_SRC = [
+    O.ADAPTER, O.STAGING, O.history_cte(), O.PREDICTIONS,
+    "train_scores AS (SELECT churn_probability FROM scored WHERE snapshot_date = DATE '2024-01-20')",
+    "cur_scores AS (SELECT churn_probability FROM scored WHERE snapshot_date = DATE '2024-01-30' AND churn_probability IS NOT NULL)",
+]
+
+
+def _scores_on(spark, sf_dir, day):
+    p = D.predictions(spark, sf_dir)
+    return p.where(F.col("snapshot_date") == F.lit(day).cast("date")).select("churn_probability")
+
+
+def _score_baseline(spark, sf_dir):
+    return drift.build_baseline(_scores_on(spark, sf_dir, D.BASELINE_DATE), [drift.SCORE_FEATURE], [])
+
+
+@register(
+    "dr14_so6_model_baseline",
+    O.with_ctes(
+        *_SCORE_SRC,
+        O.features_cte("fb", "2024-01-20", replay=True),
+        O.baseline_ctes("fbb", "fb", O.FEATURE_NUMERIC, O.FEATURE_CATEGORICAL),
+        O.baseline_ctes("sb", "train_scores", ["churn_probability"], []),
+        body="SELECT * FROM fbb UNION ALL SELECT * FROM sb",
+    ),
+    doubles=BASELINE_DOUBLES,
+)
+def dr14_model_baseline(spark, sf_dir):
+    """Feature baselines merged with the score baseline frozen from training scores."""
+    return _feature_baseline(spark, sf_dir).unionByName(_score_baseline(spark, sf_dir))
+
+
+@register(
+    "dr13_score_psi",
+    O.with_ctes(*_SCORE_SRC, O.baseline_ctes("sb", "train_scores", ["churn_probability"], []),
+                O.psi_ctes("sp", "sb", "cur_scores", ["churn_probability"], []), body="SELECT * FROM sp"),
+    doubles=PSI_DOUBLES,
+)
+def dr13_score_psi(spark, sf_dir):
+    live = _scores_on(spark, sf_dir, D.CURRENT_DATE).where(F.col(drift.SCORE_FEATURE).isNotNull())
+    return drift.psi_table(drift.freeze(_score_baseline(spark, sf_dir)), live, [drift.SCORE_FEATURE], [])
+
+
+@register("dr13_score_drift_verdict")
+def dr13_score_verdict(spark, sf_dir):
+    b = drift.freeze(_score_baseline(spark, sf_dir))
+    return drift.score_drift(b, _scores_on(spark, sf_dir, D.CURRENT_DATE))
+
+
+@register("dr16_dq12_drift_decision")
+def dr16_decision(spark, sf_dir):
+    """The nightly decision: champion churn-v2, newest feature partition against the frozen
+    model baseline, score drift, persistence over the drift history, quality override."""
+    from riskloom.plans import jobs
+
+    model_baseline = drift.freeze(_feature_baseline(spark, sf_dir).unionByName(_score_baseline(spark, sf_dir)))
+    features = D.stored(D.history(spark, sf_dir))
+    return jobs.run_drift_check(
+        features, model_baseline, "churn-v2", D.FEATURE_NUMERIC, D.FEATURE_CATEGORICAL,
+        drift_history=D.drift_history(spark, sf_dir), scores=_scores_on(spark, sf_dir, D.CURRENT_DATE),
+    )
+
+
+@register("snk12_dr15_rebuild_baseline")
+def snk12_rebuild(spark, sf_dir):
+    """Rebuild the frozen baseline from the training split (dry run returns the table) and
+    re-verify the score baseline against training scores."""
+    from riskloom.operators import splits
+    from riskloom.plans import jobs
+
+    split_table = splits.stratified_split(D.stored(D.replay_snapshot(spark, sf_dir, D.BASELINE_DATE)), assigned_at="2024-01-20 04:00:00")
+    old = drift.freeze(_score_baseline(spark, sf_dir))
+    return jobs.rebuild_baseline(
+        split_table, D.BASELINE_DATE, D.FEATURE_NUMERIC, D.FEATURE_CATEGORICAL,
+        old_baseline=old, train_scores=_scores_on(spark, sf_dir, D.BASELINE_DATE), dry_run=True,
+    )
