@@ -41,6 +41,7 @@ def align_to_features(
     levels: DataFrame | None = None,
     numeric_type: T.DataType = T.DoubleType(),
     categorical: list[str] = CATEGORICAL_COLS,
+    keep: list[str] = (),
 ) -> DataFrame:
     """PRJ6: exactly ``features`` in order; missing → NULL; extras dropped; numerics cast
     (ANSI cast raises on bad text); categoricals outside the frozen levels → NULL.
@@ -55,12 +56,14 @@ def align_to_features(
         else:
             c = F.col(f).cast(numeric_type) if f in df.columns else F.lit(None).cast(numeric_type)
         cols.append(c.alias(f))
-    out = df.select(*cols)
+    kept = [k for k in keep if k in df.columns and k not in features]
+    out = df.select(*kept, *cols)
     if levels is None:
         return out
     present = [c for c in categorical if c in features]
     # One scalar subquery per categorical column: the array of its frozen levels.
     allowed = {c: levels.where(F.col("column_name") == c).agg(F.collect_list("level")).scalar() for c in present}
     return out.select(
-        *[F.when(F.array_contains(allowed[f], F.col(f)), F.col(f)).alias(f) if f in present else F.col(f) for f in features]
+        *kept,
+        *[F.when(F.array_contains(allowed[f], F.col(f)), F.col(f)).alias(f) if f in present else F.col(f) for f in features],
     )

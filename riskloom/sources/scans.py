@@ -62,13 +62,13 @@ PREDICTION_RECORD = T.StructType(
 )
 
 
-def read_prediction_shards(spark: SparkSession, directory: str) -> DataFrame:
+def read_prediction_shards(spark: SparkSession, directory: str, glob: str = "prediction.results-*") -> DataFrame:
     """SRC6: only files named ``prediction.results-*``; blank lines are skipped by the JSON
     reader; malformed records fail the job; scores must lie in [0, 1]."""
     df = (
         spark.read.schema(PREDICTION_RECORD)
         .option("mode", "FAILFAST")
-        .option("pathGlobFilter", "prediction.results-*")
+        .option("pathGlobFilter", glob)
         .json(directory)
     )
     p = F.col("prediction.churn_probability")
