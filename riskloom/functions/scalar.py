@@ -26,6 +26,7 @@ __all__ = [
     "as_date",
     "format_indicator_value",
     "safe_corr",
+    "composite_key",
 ]
 
 
@@ -124,3 +125,8 @@ def safe_corr(a: Column | str, b: Column | str) -> Column:
     both = a.isNotNull() & b.isNotNull()
     x, y = F.when(both, a.cast("double")), F.when(both, b.cast("double"))
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
+def composite_key(*cols: Column | str, sep: str = "|") -> Column:
+    """FN8: text key of several columns, e.g. customer_id|snapshot_date."""
+    return F.concat_ws(sep, *[(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols])

@@ -112,3 +112,28 @@ def feature_history(spark, sf_dir):
 )
 def src3_current(spark, sf_dir):
     return feat.current_snapshot(derived.history(spark, sf_dir))
+
+
+@register(
+    "jn6_ag11_active_customer_pool",
+    O.with_ctes(
+        O.ADAPTER, O.STAGING,
+        body="SELECT c_custkey AS customer_id, c_mktsegment FROM customer WHERE c_custkey NOT IN (SELECT DISTINCT customer_id FROM stg WHERE churned)",
+    ),
+)
+def jn6_active_pool(spark, sf_dir):
+    """Customers still eligible to act: the pool minus those already churned."""
+    from riskloom.sources.event_log import active_pool
+    from riskloom.sources.tables import read_table
+
+    pool = read_table(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment"]).withColumnRenamed("c_custkey", "customer_id")
+    return active_pool(pool, derived.staged_events(spark, sf_dir))
+
+
+@register("prj13_raw_payload")
+def prj13_raw_payload(spark, sf_dir):
+    """Each staged event with its JSON payload (engine-specific number formatting, so
+    rows-only)."""
+    from riskloom.sources.event_log import with_raw_payload
+
+    return with_raw_payload(derived.staged_events(spark, sf_dir)).select("event_id", "raw_payload")

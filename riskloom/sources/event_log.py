@@ -131,3 +131,19 @@ def activity_log(spark: SparkSession, sf_dir: str) -> DataFrame:
             "anomaly_injected"
         ),
     )
+
+
+def with_raw_payload(log: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """PRJ13: the row serialised as its raw JSON payload (NULL fields omitted)."""
+    cols = cols or [c for c in log.columns if c != "raw_payload"]
+    return log.withColumn("raw_payload", F.to_json(F.struct(*[F.col(c) for c in cols])))
+
+
+def churned_customers(log: DataFrame) -> DataFrame:
+    """AG11: distinct customers whose events carry the churn flag."""
+    return log.where(F.col("churned")).select("customer_id").distinct()
+
+
+def active_pool(pool: DataFrame, log: DataFrame, key: str = "customer_id") -> DataFrame:
+    """JN6: the customer pool minus customers already in the absorbing (churned) state."""
+    return pool.join(churned_customers(log).withColumnRenamed("customer_id", key), key, "left_anti")
