@@ -51,6 +51,17 @@ def roc_auc(curve: DataFrame, group: str = "model") -> DataFrame:
     return curve.groupBy(group).agg(F.try_divide(num, den).alias("roc_auc"))
 
 
+def curve_metrics(curve: DataFrame, group: str = "model") -> DataFrame:
+    """EV1 + EV2 in one aggregate over the cumulative table (read once)."""
+    precision = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
+    above = F.col("cum_pos") - F.col("pos")
+    p, n = F.first("total_pos").cast("double"), F.first("total_neg").cast("double")
+    return curve.groupBy(group).agg(
+        F.try_divide(F.sum(F.col("pos") * precision), p).alias("pr_auc"),
+        F.try_divide(F.sum(F.col("neg") * (above + F.col("pos") / 2.0)), p * n).alias("roc_auc"),
+    )
+
+
 def pr_curve(curve: DataFrame, group: str = "model") -> DataFrame:
     """EV6: (model, threshold, precision, recall) for thresholds down to the first one that
     reaches full recall (lower thresholds add nothing and are dropped)."""
@@ -89,8 +100,7 @@ def f1_at(scores: DataFrame, thresholds: DataFrame, group: str = "model") -> Dat
 def metric_bundle(scores: DataFrame, thresholds: DataFrame, group: str = "model") -> DataFrame:
     """EV4: (model, pr_auc, roc_auc, f1, threshold) — thresholds chosen elsewhere, never on
     these scores."""
-    cur = cumulative(scores, group)
-    return average_precision(cur, group).join(roc_auc(cur, group), group).join(f1_at(scores, thresholds, group), group)
+    return curve_metrics(cumulative(scores, group), group).join(f1_at(scores, thresholds, group), group)
 
 
 def promotion_gate(bundle: DataFrame, challenger: str, champion: str | None, pr_auc_min_delta: float = PR_AUC_MIN_DELTA, f1_min_delta: float = F1_MIN_DELTA) -> DataFrame:

@@ -35,8 +35,7 @@ def ev6_pr_curve(spark, sf_dir):
     doubles=("pr_auc", "roc_auc"),
 )
 def ev1_ev2_auc(spark, sf_dir):
-    cur = metrics.cumulative(D.lineitem_scores(spark, sf_dir))
-    return metrics.average_precision(cur).join(metrics.roc_auc(cur), "model")
+    return metrics.curve_metrics(metrics.cumulative(D.lineitem_scores(spark, sf_dir)))
 
 
 @register(

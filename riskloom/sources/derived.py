@@ -224,10 +224,13 @@ def lineitem_scores(spark: SparkSession, sf_dir: str, period: str | None = None)
         li = li.where(F.col("l_shipdate") < split)
     elif period == "test":
         li = li.where(F.col("l_shipdate") >= split)
+    # One scan for both models: each row emits one (model, score) pair per model.
+    pairs = F.array(
+        F.struct(F.lit("champion").alias("model"), F.col("l_discount").alias("score")),
+        F.struct(F.lit("challenger").alias("model"), (F.col("l_extendedprice") / F.lit(120000.0)).alias("score")),
+    )
     y = (F.col("l_returnflag") == "R").cast("int").alias("y")
-    champ = li.select(F.lit("champion").alias("model"), y, F.col("l_discount").alias("score"))
-    chall = li.select(F.lit("challenger").alias("model"), y, (F.col("l_extendedprice") / F.lit(120000.0)).alias("score"))
-    return champ.unionByName(chall)
+    return li.select(y, F.explode(pairs).alias("p")).select(F.col("p.model").alias("model"), "y", F.col("p.score").alias("score"))
 
 
 def lineitem_importances(spark: SparkSession, sf_dir: str, period: str) -> DataFrame:
