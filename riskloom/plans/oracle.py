@@ -348,7 +348,7 @@ defective AS (
                       'email' AS preferred_channel) FROM fc
     UNION ALL
     SELECT * REPLACE (CASE WHEN customer_id % 3 <> 2 THEN NULL ELSE avg_engagement_30d END AS avg_engagement_30d,
-                      'email' AS preferred_channel) FROM fc WHERE customer_id % 25 = 0))"""
+                      'email' AS preferred_channel) FROM fc WHERE region = 'ASIA'))"""
 
 
 def split_cte(src: str = "features", name: str = "split_rows") -> str:

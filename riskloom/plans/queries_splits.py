@@ -102,13 +102,13 @@ def sl4_sample(spark, sf_dir):
 
 _NEW_SCORES_SQL = """src AS (SELECT customer_id, ((customer_id * 104729 + 7919) % 997) / 997.0::DOUBLE AS churn_probability,
     ((customer_id * 104729 + 7919) % 997) / 997.0::DOUBLE >= 0.45 AS churn_prediction, 'churn-v3' AS model_version, snapshot_date,
-    TIMESTAMP '2024-02-01 03:00:00' AS predicted_at FROM scored WHERE snapshot_date = DATE '2024-01-30' AND customer_id % 2 = 0)"""
+    TIMESTAMP '2024-02-01 03:00:00' AS predicted_at FROM scored WHERE snapshot_date = DATE '2024-01-30' AND churn_probability >= 0.5)"""
 
 
 def _new_scores(spark, sf_dir):
     p = D.predictions(spark, sf_dir)
     s = ((F.col("customer_id") * 104729 + 7919) % 997) / F.lit(997.0)
-    src = p.where((F.col("snapshot_date") == F.lit("2024-01-30").cast("date")) & (F.col("customer_id") % 2 == 0)).select(
+    src = p.where((F.col("snapshot_date") == F.lit("2024-01-30").cast("date")) & (F.col("churn_probability") >= 0.5)).select(
         "customer_id", s.alias("churn_probability"), (s >= 0.45).alias("churn_prediction"), "snapshot_date"
     )
     return p, sinks.stamp_scores(src, "churn-v3", "2024-02-01 03:00:00").select(*p.columns)
@@ -124,7 +124,8 @@ def _new_scores(spark, sf_dir):
     doubles=("churn_probability",),
 )
 def snk3_merge(spark, sf_dir):
-    """Keyed upsert of re-scored rows into the prediction log (source wins)."""
+    """Keyed upsert into the prediction log (source wins): the newest day's high-risk
+    customers were re-scored by a new model version."""
     target, source = _new_scores(spark, sf_dir)
     return sinks.merge_by_key(target, source, ["customer_id", "snapshot_date"])
 
