@@ -27,6 +27,7 @@ __all__ = [
     "format_indicator_value",
     "safe_corr",
     "composite_key",
+    "ntz_literal",
 ]
 
 
@@ -130,3 +131,13 @@ def safe_corr(a: Column | str, b: Column | str) -> Column:
 def composite_key(*cols: Column | str, sep: str = "|") -> Column:
     """FN8: text key of several columns, e.g. customer_id|snapshot_date."""
     return F.concat_ws(sep, *[(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols])
+
+
+def ntz_literal(value) -> Column:
+    """TIMESTAMP_NTZ literal from text or a naive ``datetime`` (formatted as text first, so
+    the session time zone never shifts it)."""
+    if isinstance(value, Column):
+        return value.cast("timestamp_ntz")
+    if isinstance(value, _dt.datetime):
+        value = value.strftime("%Y-%m-%d %H:%M:%S.%f")
+    return F.lit(str(value)).cast("timestamp_ntz")

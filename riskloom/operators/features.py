@@ -180,7 +180,9 @@ def default_computed_at(as_of) -> dt.datetime:
 
 def _stamp(df: DataFrame, as_of, computed_at) -> DataFrame:
     computed_at = computed_at or default_computed_at(as_of)
-    return df.withColumn("feature_computed_at", F.lit(computed_at).cast("timestamp_ntz")).withColumn(
+    # Text literal: a wall-clock UTC stamp that does not depend on the session time zone.
+    stamp = F.lit(computed_at.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    return df.withColumn("feature_computed_at", stamp).withColumn(
         "snapshot_date", as_date(as_of)
     )
 

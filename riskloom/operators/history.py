@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.functions.scalar import ntz_literal
+
 # Fixed values of the persistence rule and the rejection alert.
 PERSISTENCE_WINDOW = 3
 PERSISTENCE_MIN_BREACHES = 2
@@ -29,7 +31,7 @@ def last_runs_of(history: DataFrame, model: str, n: int, before=None) -> DataFra
     """SL2 for one model: ``SELECT DISTINCT run_ts … ORDER BY run_ts DESC LIMIT n``."""
     h = history.where(F.col("champion_model") == model)
     if before is not None:
-        h = h.where(F.col("run_ts") < F.lit(before).cast("timestamp_ntz"))
+        h = h.where(F.col("run_ts") < ntz_literal(before))
     return h.select("run_ts").distinct().orderBy(F.col("run_ts").desc()).limit(n)
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.scalar import hash_order_key
+from riskloom.functions.scalar import hash_order_key, ntz_literal
 from riskloom.operators.ordered import hex_bucket, ranked
 
 TEST_SIZE = 0.20  # fixed value: share of each stratum held out
@@ -31,7 +31,7 @@ def stratified_split(
     r = ranked(x, [label], ["_h", key], hex_bucket(F.col("_h")))
     pr = F.when(F.col("_group_n") > 1, (F.col("_rank") - 1) / (F.col("_group_n") - 1)).otherwise(F.lit(0.0))
     out = r.withColumn("split", F.when(pr < train_fraction, "train").otherwise("test"))
-    stamp = F.lit(assigned_at).cast("timestamp_ntz") if assigned_at is not None else F.col("feature_computed_at")
+    stamp = ntz_literal(assigned_at) if assigned_at is not None else F.col("feature_computed_at")
     keep = [c for c in features.columns if c not in ("feature_computed_at", "latest_event_ts")]
     return out.select(*keep, "split", stamp.alias("assigned_at"))
 

@@ -62,6 +62,8 @@ def _sql_round(c: str) -> str:
 def register(name: str, sql: str | None = None, doubles: tuple[str, ...] | list[str] = ()):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # Dates are UTC calendar days; pin the zone for sessions we did not build.
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
             return round_doubles(fn(spark, sf_dir))
 
         run.__name__ = fn.__name__

@@ -14,7 +14,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.scalar import as_date
+from riskloom.functions.scalar import as_date, ntz_literal
 
 
 def assert_same_schema(df: DataFrame, existing: DataFrame | None) -> None:
@@ -78,7 +78,7 @@ def merge_by_key(target: DataFrame, source: DataFrame, keys: list[str]) -> DataF
 def stamp_scores(scored: DataFrame, model_version: str, predicted_at) -> DataFrame:
     """SNK3's stamping: the model that produced the rows and when they were written."""
     return scored.withColumn("model_version", F.lit(model_version)).withColumn(
-        "predicted_at", F.lit(predicted_at).cast("timestamp_ntz")
+        "predicted_at", ntz_literal(predicted_at)
     )
 
 

@@ -68,6 +68,7 @@ def materialize(df):
     """
     from pyspark import StorageLevel
 
+    ensure_checkpoint_dir(df.sparkSession)
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     out = cached.checkpoint(eager=True)
     cached.unpersist()
