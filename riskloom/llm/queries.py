@@ -9,7 +9,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import near_dedup
+from riskloom.llm import decontaminate, exact_dedup, line_dedup, near_dedup, packing
 from riskloom.llm.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,66 @@ def see_package(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
 
 
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query(
+    "op1_decontaminate",
+    f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS w FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS size,
+         unnest(list_transform(range(1, len(w) - least(10, len(w)) + 2), lambda i: array_to_string(w[i : i + least(10, len(w)) - 1], ' '))) AS win
+  FROM b WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT size FROM bw),
+dw AS (
+  SELECT doc_id, size, i, array_to_string(w[i : i + size - 1], ' ') AS win
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d, sizes WHERE len(w) >= size)),
+hit AS (SELECT dw.doc_id, dw.i, dw.size, bw.item_id FROM dw JOIN bw USING (size, win)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hit) GROUP BY doc_id),
+items AS (SELECT doc_id, list_sort(list(DISTINCT item_id)) AS items FROM hit GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
+       sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
+
+
+@query(
+    "op2_exact_dedup",
+    r"""
+WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[ 	-]+', ' ', 'g') AS t FROM documents),
+g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM d JOIN g USING (t)""",
+)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op5_line_dedup",
+    r"""
+WITH l AS (
+  SELECT doc_id, i, x AS line, translate(regexp_replace(regexp_replace(x, '^[ 	-]+', ''), '[ 	-]+$', ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT doc_id, unnest(s) AS x, unnest(range(1, len(s) + 1)) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents))),
+k AS (SELECT k, max(doc_id) AS top FROM l WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3),
+m AS (SELECT l.doc_id, i, line, top IS NOT NULL AND l.doc_id <> top AS gone FROM l LEFT JOIN k USING (k))
+SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id""",
+)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+
+
+@query("op7_best_fit_packing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.tokens(table(spark, sf_dir, "documents"), packing.default_tokenizer()))
+
+
 @query("op8_minhash_near_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
