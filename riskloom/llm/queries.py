@@ -9,7 +9,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import decontaminate, exact_dedup, line_dedup, near_dedup, packing
+from riskloom.llm import decontaminate, exact_dedup, line_dedup, near_dedup, packing, toxicity
 from riskloom.llm.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,7 +70,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "op2_exact_dedup",
     r"""
-WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[ 	-]+', ' ', 'g') AS t FROM documents),
+WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[ 	-
+]+', ' ', 'g') AS t FROM documents),
 g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM d JOIN g USING (t)""",
 )
@@ -82,7 +83,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     "op5_line_dedup",
     r"""
 WITH l AS (
-  SELECT doc_id, i, x AS line, translate(regexp_replace(regexp_replace(x, '^[ 	-]+', ''), '[ 	-]+$', ''),
+  SELECT doc_id, i, x AS line, translate(regexp_replace(regexp_replace(x, '^[ 	-
+]+', ''), '[ 	-
+]+$', ''),
          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
   FROM (SELECT doc_id, unnest(s) AS x, unnest(range(1, len(s) + 1)) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents))),
 k AS (SELECT k, max(doc_id) AS top FROM l WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3),
@@ -103,3 +106,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_minhash_near_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("llr_per_byte")
