@@ -9,7 +9,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import decontaminate, exact_dedup, line_dedup, near_dedup, packing, toxicity
+from riskloom.llm import decontaminate, exact_dedup, line_dedup, lm_score, near_dedup, packing, suffix_dedup, toxicity, url_filter
 from riskloom.llm.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,18 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_toxicity")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("llr_per_byte")
+
+
+@query("op9_url_filter")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages")).drop("target")
+
+
+@query("op6_lm_score")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.lm_scores(table(spark, sf_dir, "documents")).drop("per_token")
+
+
+@query("op4_suffix_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
