@@ -5,27 +5,61 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import near_dedup
+from riskloom.llm import decontaminate, exact_dedup, near_dedup, packing, toxicity
 from riskloom.llm.base import cut, table, without
 from riskloom.llm.queries import see_package
 
 
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model rejects go."""
+    see_package(spark)
+    judged = toxicity.toxicity(docs, table(spark, sf_dir, "labels"))
+    return without(docs, judged.where("predicted = 1"))
+
+
+def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the row with the smallest doc_id stays."""
+    see_package(spark)
+    return without(docs, exact_dedup.exact_duplicates(docs).where(~F.col("kept")))
+
+
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component stays: the one with the smallest doc_id."""
+    see_package(spark)
     return without(docs, near_dedup.near_duplicates(docs).where(~F.col("kept")))
 
 
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    see_package(spark)
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return without(docs, found.where("contaminated"))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of every remaining document and its place in a sequence."""
+    see_package(spark)
+    return packing.pack(packing.tokens(docs, packing.default_tokenizer()))
+
+
 STAGES = [
+    ("toxicity", toxicity_stage),
+    ("exact_dedup", exact_dedup_stage),
     ("near_dedup", near_dedup_stage),
+    ("decontamination", decontamination_stage),
+    ("packing", packing_stage),
 ]
 
-# Scores, packings and components can't be written as SQL; tests compare with brute force.
+# Model scores, components and packings can't be written as SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole ``documents`` table."""
-    see_package(spark)
+    """All stages over the whole ``documents`` table.
+
+    Every stage passes on the rows it keeps with all their columns, so extra columns stay; rows
+    with a null doc_id are never dropped, as a decision can't name them.  An empty table gives no rows.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = cut(stage(spark, docs, sf_dir), name)

@@ -8,8 +8,9 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from riskloom.llm import decontaminate, exact_dedup, line_dedup, lm_score, near_dedup, packing, suffix_dedup, toxicity, url_filter
+from riskloom.llm import decontaminate, exact_dedup, license_scan, line_dedup, lm_score, near_dedup, packing, suffix_dedup, toxicity, url_filter
 from riskloom.llm.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,3 +127,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_suffix_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query("op3_license_scan")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+    names = F.array_join(F.array_sort(F.array_distinct(F.col("found.license"))), ",")
+    return rows.select("doc_id", "n_words", F.size("found").cast("long").alias("n_found"), names.alias("licenses"), F.coalesce(F.array_max("found.coverage"), F.lit(0.0)).alias("best_coverage"))
