@@ -111,9 +111,9 @@ def threshold_label(p: Column, threshold: float | Column) -> Column:
 def format_indicator_value(v: Column, fmt: str) -> Column:
     """Render a driver value: percent (no decimals), int (thousands), float (1 decimal)."""
     if fmt == "percent":
-        return F.when(v.isNull(), "—").otherwise(F.concat(F.format_number(F.round(v * 100, 0), 0), F.lit("%")))
+        return F.when(v.isNull(), "—").otherwise(F.concat(F.format_number(F.bround(v * 100, 0), 0), F.lit("%")))
     if fmt == "int":
-        return F.when(v.isNull(), "—").otherwise(F.format_number(F.round(v, 0), 0))
+        return F.when(v.isNull(), "—").otherwise(F.format_number(F.bround(v, 0), 0))
     return F.when(v.isNull(), "—").otherwise(F.format_number(v, 1))
 
 

@@ -91,11 +91,11 @@ def demote_previous_champions(registry: DataFrame) -> DataFrame:
     return out.withColumn("single_champion", check)
 
 
-def newest_successful_output(jobs: DataFrame, outputs: DataFrame, model: str, name_prefix: str) -> DataFrame:
-    """SRC8 + SL5 + FN6: rows of the newest SUCCEEDED job for a model and name, with the
+def newest_successful_output(jobs: DataFrame, outputs: DataFrame, model: str, display_name: str) -> DataFrame:
+    """SRC8 + SL5 + FN6: rows of the newest SUCCEEDED job for a model and display name (equal, so that evaluation runs are left out), with the
     score pulled out of its JSON payload.  The job list is one row per run (small)."""
     cand = jobs.where(
-        (F.col("state") == "SUCCEEDED") & F.col("display_name").startswith(name_prefix) & (F.col("model") == model)
+        (F.col("state") == "SUCCEEDED") & (F.col("display_name") == display_name) & (F.col("model") == model)
     )
     newest = cand.agg(F.max_by("job_id", F.struct("create_time", "job_id")).alias("job_id"))
     picked = outputs.join(F.broadcast(newest), "job_id", "left_semi")

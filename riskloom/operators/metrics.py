@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.scalar import safe_corr
 
-from riskloom.operators.ordered import log_bucket, running_sums
+from riskloom.operators.ordered import running_sums
 
 # Fixed values of the gate.
 PR_AUC_MIN_DELTA = 0.02
@@ -34,7 +34,7 @@ def score_counts(scores: DataFrame, group: str = "model") -> DataFrame:
 def cumulative(scores: DataFrame, group: str = "model") -> DataFrame:
     """WN9: counts at or above each distinct score (descending), plus class totals."""
     c = score_counts(scores, group)
-    return running_sums(c, [group], "score", ["pos", "neg"], descending=True, bucket=log_bucket(F.col("score")))
+    return running_sums(c, [group], "score", ["pos", "neg"], descending=True)
 
 
 def average_precision(curve: DataFrame, group: str = "model") -> DataFrame:

@@ -5,14 +5,15 @@ The reference needs several such computations — cumulative TP/FP along a score
 curves, PERCENT_RANK inside two label strata, row numbers for folds, exact quantiles — so
 they all go through the two helpers here:
 
-1. every row gets a *monotone bucket*: a coarse key that preserves the order of the value
-   and puts equal values in the same bucket;
-2. per-(group, bucket) totals are aggregated (small: one row per populated bucket) and
+1. every row gets a *monotone bucket*: rows are range-partitioned on (group, value) with
+   boundaries sampled from the data, and the bucket is the number of the partition, so a
+   narrow range of values spreads over as many tasks as a wide one; the bucketed table is
+   written once, as the boundaries must not be drawn anew for each use;
+2. per-(group, bucket) totals are aggregated (one row per partition a group reaches) and
    turned into exclusive offsets with a window over that small table;
 3. within each (group, bucket) the ordinary window runs, and the offset is added.
 
-The bucket window partitions are fine-grained, so the work spreads over all tasks; the
-bucket totals table is bounded by the number of populated buckets, not by the rows.
+NaN sorts after every number and infinities at the ends, as everywhere in Spark.
 """
 
 from __future__ import annotations
@@ -20,19 +21,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET_COL = "_ob"
+from riskloom.session import materialize
 
+BUCKET_COL = "_ob"
 
-def log_bucket(x: Column, resolution: int = 4096) -> Column:
-    """Monotone bucket of any double: sign × floor(log2|x| · resolution); 0 for 0.
 
-    Values within a relative distance of about 1/(resolution·1.44) share a bucket, so a
-    bucket never spans a wide range regardless of the distribution; at most ~2·2100·resolution
-    buckets can exist.
-    """
-    v = x.cast("double")
-    mag = F.floor((F.log2(F.abs(v)) + F.lit(1100.0)) * F.lit(float(resolution))) + 1
-    return F.when(v > 0, mag).when(v < 0, -mag).otherwise(F.lit(0).cast("long"))
+def range_bucketed(df: DataFrame, groups: list[str], order_col: str) -> DataFrame:
+    """``df`` with a monotone bucket of ``order_col`` inside ``groups``, equal values together."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(n, *groups, order_col).withColumn(BUCKET_COL, F.spark_partition_id().cast("long"))
+    return materialize(dealt)
 
 
 def hex_bucket(hex_key: Column, bits: int = 20) -> Column:
@@ -74,8 +72,7 @@ def running_sums(
     Rows must be unique on ``groups + [order_col]`` (aggregate first), which is how every
     caller uses it: counts per distinct score, never raw rows.
     """
-    b = bucket if bucket is not None else log_bucket(F.col(order_col))
-    x = df.withColumn(BUCKET_COL, b)
+    x = df.withColumn(BUCKET_COL, bucket) if bucket is not None else range_bucketed(df, groups, order_col)
     offs = _offsets(x, groups, descending, value_cols)
     o = F.col(order_col).desc() if descending else F.col(order_col).asc()
     inside = Window.partitionBy(*groups, BUCKET_COL).orderBy(o).rowsBetween(Window.unboundedPreceding, 0)

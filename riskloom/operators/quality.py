@@ -178,7 +178,7 @@ def quality_failures(
         stats = melted.groupBy("feature").agg(
             F.count(F.lit(1)).alias("n"),
             F.count_if(F.col("value").isNull()).alias("nulls"),
-            F.count_distinct("value").alias("nd"),
+            F.when(F.min("value") < F.max("value"), 2).otherwise(F.count_if(F.col("value").isNotNull()).cast("boolean").cast("int")).alias("nd"),
         )
         j = stats.join(F.broadcast(feats), "feature")
         cur_null = F.when(F.col("n") > 0, F.col("nulls") / F.col("n")).otherwise(F.lit(0.0))
@@ -199,39 +199,58 @@ def quality_failures(
     return out
 
 
-def quality_report(failures: DataFrame, current: DataFrame) -> DataFrame:
-    """One-row report: failed flag, number of failures, row count."""
-    n = failures.agg(F.count(F.lit(1))).scalar()
-    return current.agg(F.count(F.lit(1)).alias("row_count")).select(
-        (n > 0).alias("data_quality_failed"), n.alias("n_failures"), "row_count"
-    )
-
-
 def probability_in_range(scores: DataFrame, col: str = "churn_probability") -> DataFrame:
     """DQ16: scores outside [0, 1]."""
     return accepted_range(scores, col, 0.0, 1.0)
 
 
-def trend_violations(trend: DataFrame) -> DataFrame:
-    """DQ15: per-row bounds of the daily trend (NULL allowed); one row per violated bound."""
-    rules = {
-        "customers_scored": (0, None),
-        "predicted_churners": (0, None),
-        "high_risk_customers": (0, None),
-        "mean_churn_probability": (0.0, 1.0),
-        "predicted_churn_rate": (0.0, 1.0),
-        "model_versions_used": (1, None),
-    }
-    parts = []
-    for c, (lo, hi) in rules.items():
-        bad = F.col(c).isNotNull() & ((F.col(c) < lo) | ((F.col(c) > hi) if hi is not None else F.lit(False)))
-        parts.append(trend.where(bad).select("snapshot_date", F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+# The columns the read model's two marts must have (type, nullable, bounds).
+RISK_MART_COLUMNS = (
+    "customer_id", "churn_probability", "model_version", "snapshot_date",
+    "membership_tier", "region", "preferred_channel", "member_since_days",
+    "monthly_value",
+    "payment_failure_rate_30d", "days_since_last_successful_payment", "contact_requests_last_30d",
+    "avg_engagement_30d", "events_last_30d", "campaign_participation_rate",
+)
+TREND_BOUNDS = {
+    "snapshot_date": (False, None, None),
+    "customers_scored": (False, 0, None),
+    "high_risk_customers": (False, 0, None),
+    "predicted_churn_rate": (True, 0.0, 1.0),
+    "model_versions_used": (False, 0, None),
+}
 
 
-def require_columns(df: DataFrame, required: list[str]) -> list[str]:
-    """DQ14: missing required columns (metadata only; no job runs)."""
-    return sorted(set(required) - set(df.columns))
+class MartContractError(ValueError):
+    """A mart and its reader have diverged."""
+
+
+def trend_violations(trend: DataFrame) -> DataFrame:
+    """DQ15: (snapshot_date, column_name, value) of each cell of the daily trend that breaks
+    the contract: NULL in a required column, or a value outside its bounds."""
+    cells = []
+    for c, (nullable, lo, hi) in TREND_BOUNDS.items():
+        v = F.col(c).cast("double") if lo is not None else F.lit(None).cast("double")
+        bad = F.lit(False) if nullable else F.col(c).isNull()
+        if lo is not None:
+            bad = bad | F.coalesce((v < lo) | F.isnan(v) | ((v > hi) if hi is not None else F.lit(False)), F.lit(False))
+        cells.append(F.when(bad, F.struct(F.lit(c).alias("column_name"), v.alias("value"))))
+    broken = F.filter(F.array(*cells), lambda x: x.isNotNull())
+    return trend.select("snapshot_date", F.explode(broken).alias("b")).select("snapshot_date", "b.*")
+
+
+def require_columns(df: DataFrame, required: tuple[str, ...] = RISK_MART_COLUMNS, source: str = "mart") -> DataFrame:
+    """DQ14: raise unless every column the reader needs is there (metadata only; no job runs).
+    A frame without any columns means that nothing is scored yet, and passes."""
+    missing = sorted(set(required) - set(df.columns)) if df.columns else []
+    if missing:
+        raise MartContractError(f"{source} lacks column(s): {', '.join(missing)}")
+    return df
+
+
+def validated_trend(trend: DataFrame, source: str = "trend") -> DataFrame:
+    """SL6: the trend in date order, after DQ14 and DQ15 (one row per scored day)."""
+    require_columns(trend, tuple(TREND_BOUNDS), source)
+    if trend.columns and not (bad := trend_violations(trend)).isEmpty():
+        raise MartContractError(f"{source} has rows outside its contract, such as {bad.first().asDict()}")
+    return trend.orderBy("snapshot_date")

@@ -5,8 +5,8 @@ third of all rows (here: one feature column of a melted table) would need that w
 in one executor.  Instead, a *bucket select*:
 
 1. count rows per distinct (group, value) — a partial aggregate (``value_counts``);
-2. give every distinct value a monotone bucket (``log_bucket``) and total the counts per
-   (group, bucket) — one more partial aggregate, output bounded by the populated buckets;
+2. give every distinct value a monotone bucket (``range_bucketed``, boundaries drawn from the
+   data) and total the counts per (group, bucket): one row per partition a group reaches;
 3. exclusive running totals over that small bucket table locate, for each of the
    2·len(probs) target ranks of a group, the one bucket that holds it;
 4. only the distinct values inside those few buckets are ranked exactly (a window over a
@@ -23,12 +23,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.operators.ordered import BUCKET_COL, log_bucket
+from riskloom.operators.ordered import BUCKET_COL, range_bucketed
 
 
 def value_counts(df: DataFrame, groups: list[str], value: str) -> DataFrame:
-    """(groups…, value, cnt) over non-null values."""
-    return df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("cnt"))
+    """(groups…, value, cnt) over present values: neither NULL nor NaN."""
+    return df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def _targets(sizes: DataFrame, groups: list[str], probs: list[float]) -> DataFrame:
@@ -64,7 +64,7 @@ def exact_quantiles(
     ``sizes`` (groups…, _n) may be passed when the number of present values per group is
     already known; otherwise it is summed from the bucket totals.
     """
-    x = vc.withColumn(BUCKET_COL, log_bucket(F.col(value)))
+    x = range_bucketed(vc, groups, value)
     totals = x.groupBy(*groups, BUCKET_COL).agg(F.sum("cnt").alias("_bc"))
     before = Window.partitionBy(*groups).orderBy(BUCKET_COL).rowsBetween(Window.unboundedPreceding, -1)
     offs = totals.withColumn("_before", F.coalesce(F.sum("_bc").over(before), F.lit(0)))
@@ -91,5 +91,5 @@ def exact_quantiles(
     )
     both = targets.join(picked, [*groups, "q_index"])
     frac = F.col("_pos") - F.col("_lo_rank")
-    q = F.when(frac == 0, F.col("_v_lo")).otherwise(F.col("_v_lo") + (F.col("_v_hi") - F.col("_v_lo")) * frac)
+    q = F.when((frac == 0) | (F.col("_v_lo") == F.col("_v_hi")), F.col("_v_lo")).otherwise(F.col("_v_lo") + (F.col("_v_hi") - F.col("_v_lo")) * frac)
     return both.select(*groups, "q_index", "prob", q.alias("quantile"))

@@ -7,8 +7,9 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.operators import metrics
 from riskloom.plans import sinks
@@ -22,14 +23,16 @@ def scratch_dir(spark, name: str) -> str:
 
 
 def rejoin_scores(requested: DataFrame, scores: DataFrame, key: str = "customer_id") -> DataFrame:
-    """JN4: scores in the order of the requested ids.  A duplicate score keeps the record of
-    the last file read (files are read in name order); any id without a score is an error
-    listing (up to 20 of) the missing ids."""
-    w = Window.partitionBy(key).orderBy(F.col("_file").desc())
-    dedup = scores.withColumn("_file", F.input_file_name()).withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r", "_file")
-    missing = requested.select(key).join(dedup.select(key), key, "left_anti").limit(20).collect()
-    if missing:
-        raise LookupError(f"no score for requested ids: {[r[0] for r in missing]}")
+    """JN4: the requested ids with their scores.  Of several scores the last record counts: files in
+    name order, lines in their order (``_place``).  Ids without a score are an error: all of them
+    are written as a table, and the error names their number and its place."""
+    value = [c for c in scores.columns if c not in (key, "_place")]
+    dedup = scores.groupBy(key).agg(F.max_by(F.struct(*value), "_place").alias("_v")).select(key, *[F.col(f"_v.{c}").alias(c) for c in value])
+    spark = requested.sparkSession
+    path = scratch_dir(spark, "missing-scores")
+    requested.select(key).join(dedup.select(key), key, "left_anti").write.parquet(path)
+    if n := spark.read.schema(requested.select(key).schema).parquet(path).count():
+        raise LookupError(f"{n} requested ids have no score; they are listed in {path}")
     return requested.join(dedup, key, "left")
 
 
@@ -46,7 +49,8 @@ def evaluate_stage(
     spark = test_rows.sparkSession
     src = scratch_dir(spark, "batch-source")
     sinks.batch_source_export(test_rows, src)  # SNK6
-    instances = spark.read.json(src)
+    kinds = [f for f in test_rows.schema.fields if f.name not in sinks.NOT_EXPORTED]
+    instances = spark.read.schema(T.StructType(kinds)).json(src)
     labels = test_rows.select(F.col("customer_id").cast("string").alias("customer_id"), F.col("churned").cast("int").alias("y"))
     parts, th = [], []
     for role, scorer, t in (("challenger", challenger_scorer, challenger_threshold), ("champion", champion_scorer, champion_threshold)):

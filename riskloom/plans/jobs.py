@@ -19,42 +19,86 @@ from riskloom.functions.scalar import arrays_close
 from riskloom.operators import drift, history, quality
 from riskloom.operators.preprocess import align_to_features
 from riskloom.plans import sinks
+from riskloom.session import materialize
 from riskloom.sources import scans
 
 log = logging.getLogger(__name__)
 
+_PSI = T.MapType(T.StringType(), T.DoubleType())
+_NULL_RATES = T.MapType(T.StringType(), T.StructType([T.StructField("baseline", T.DoubleType()), T.StructField("current", T.DoubleType())]))
+_FAILURE = T.StructType([T.StructField("check", T.StringType()), T.StructField("feature", T.StringType()), T.StructField("detail", T.StringType())])
+_QUALITY = T.StructType([T.StructField("data_quality_failed", T.BooleanType()), T.StructField("failures", T.ArrayType(_FAILURE)), T.StructField("row_count", T.LongType())])
+# The fields of the decision document that the orchestrator and the reports read.
 DECISION_SCHEMA = T.StructType(
     [
         T.StructField("champion_model", T.StringType()),
         T.StructField("snapshot_date", T.DateType()),
-        T.StructField("run_drift_detected", T.BooleanType()),
         T.StructField("drift_detected", T.BooleanType()),
-        T.StructField("breached_features", T.ArrayType(T.StringType())),
-        T.StructField("persistent_breaches", T.ArrayType(T.StringType())),
+        T.StructField("reason", T.StringType()),
+        T.StructField("threshold", T.DoubleType()),
+        T.StructField("feature_psi", _PSI),
+        T.StructField("feature_thresholds", _PSI),
+        T.StructField("feature_null_rates", _NULL_RATES),
+        T.StructField("breached_features", _PSI),
         T.StructField("unmonitored_features", T.ArrayType(T.StringType())),
+        T.StructField("current_sample_size", T.LongType()),
         T.StructField("score_psi", T.DoubleType()),
         T.StructField("score_threshold", T.DoubleType()),
         T.StructField("score_drift_detected", T.BooleanType()),
-        T.StructField("data_quality_failed", T.BooleanType()),
-        T.StructField("quality_failures", T.ArrayType(T.StringType())),
+        T.StructField("run_drift_detected", T.BooleanType()),
+        T.StructField("persistence_window", T.IntegerType()),
+        T.StructField("persistence_min_breaches", T.IntegerType()),
+        T.StructField("breach_counts", T.MapType(T.StringType(), T.IntegerType())),
+        T.StructField("persistent_breaches", _PSI),
+        T.StructField("data_quality", _QUALITY),
         T.StructField("retrain_suppressed_by_data_quality", T.BooleanType()),
-        T.StructField("reason", T.StringType()),
     ]
 )
 
 
-def _score_drift(baseline: DataFrame, scores: DataFrame | None) -> dict:
-    """DR13: monitoring only — any failure degrades to 'no score signal'."""
+NO_HISTORY = "run_ts timestamp_ntz, champion_model string, feature string, breached boolean"
+
+
+def feature_report(
+    baseline: DataFrame,
+    current: DataFrame,
+    champion: str,
+    numeric_cols: list[str],
+    categorical_cols: list[str],
+    past: DataFrame | None,
+    psi_threshold: float,
+    window: int,
+    min_breaches: int,
+) -> DataFrame:
+    """Verdict of each feature and its place under the persistence rule, one row per feature."""
+    verdict = materialize(drift.drift_verdict(baseline, current, numeric_cols, categorical_cols, psi_threshold))
+    past = current.sparkSession.createDataFrame([], NO_HISTORY) if past is None else past
+    rule = history.apply_persistence(verdict, past, champion, window, min_breaches).drop("psi")
+    return verdict.join(rule, "feature", "left").withColumn("persistent", F.coalesce("persistent", F.lit(False)))
+
+
+def quality_report(features: DataFrame, snapshot_date, snap: DataFrame, aligned: DataFrame, baseline: DataFrame, numeric_cols: list[str], categorical_cols: list[str]) -> dict:
+    """DQ12: the gate judges the frame the model would see, with the columns the source had.
+    It fails closed: a check that can't run is a failed check."""
     try:
-        score_rows = baseline.where(F.col("feature") == drift.SCORE_FEATURE)
-        if scores is None or score_rows.limit(1).count() == 0:
-            return {}
-        v = drift.score_drift(score_rows, scores).collect()
-        if not v or v[0].current_rows == 0:
-            return {}
-        return {"score_psi": v[0].psi, "score_threshold": v[0].threshold, "score_drift_detected": bool(v[0].psi > v[0].threshold)}
+        recent = quality.recent_partition_sizes(features, snapshot_date)
+        found = quality.quality_failures(aligned, baseline, numeric_cols, categorical_cols, recent, source_columns=snap.columns).collect()  # some per feature
+        failures = [{"check": r.check, "feature": r.feature, "detail": f"observed {r.observed}, bound {r.bound}"} for r in found]
+        return {"data_quality_failed": bool(failures), "failures": failures, "row_count": aligned.count()}
+    except Exception as error:  # noqa: BLE001
+        log.exception("the quality gate did not run")
+        return {"data_quality_failed": True, "failures": [{"check": "check_failed", "feature": None, "detail": str(error)[:200]}], "row_count": 0}
+
+
+def score_report(baseline: DataFrame, scores: DataFrame | None) -> dict:
+    """DR13, for monitoring only: empty when there is no score baseline, no score or any error."""
+    if scores is None:
+        return {}
+    try:
+        found = drift.score_drift(baseline.where(F.col("feature") == drift.SCORE_FEATURE), scores).collect()  # one row at most
+        return {"score_psi": found[0].psi, "score_threshold": found[0].threshold, "score_drift_detected": bool(found[0].psi > found[0].threshold)} if found and found[0].current_rows else {}
     except Exception:  # noqa: BLE001
-        log.exception("score drift check failed; continuing without it")
+        log.exception("no score signal in this run")
         return {}
 
 
@@ -73,61 +117,49 @@ def run_drift_check(
     persistence_window: int = history.PERSISTENCE_WINDOW,
     persistence_min_breaches: int = history.PERSISTENCE_MIN_BREACHES,
 ) -> DataFrame:
-    """DR16: drift verdict → persistence → data-quality override → history → decision."""
+    """DR16: the decision, one row.  ``levels`` (PRJ7) freezes the categories of training."""
     spark = features.sparkSession
+    empty = dict.fromkeys(DECISION_SCHEMA.names)
     if champion is None:
-        row = {f.name: None for f in DECISION_SCHEMA.fields} | {"drift_detected": False, "reason": "no_champion_registered"}
-        return spark.createDataFrame([row], DECISION_SCHEMA)
-
+        return spark.createDataFrame([empty | {"drift_detected": False, "reason": "no_champion_registered"}], DECISION_SCHEMA)
+    if persistence_min_breaches > persistence_window:
+        raise ValueError("persistence_min_breaches cannot exceed persistence_window")
     snapshot_date, snap = scans.latest_partition(features)  # SRC2: one scalar, then pruning
-    feature_names = [c for c in numeric_cols + categorical_cols]
-    current = align_to_features(snap, feature_names, levels, categorical=categorical_cols)  # PRJ6
-    feat_base = baseline.where(F.col("feature") != drift.SCORE_FEATURE)
-    verdict = drift.drift_verdict(feat_base, current, numeric_cols, categorical_cols, psi_threshold).collect()
-    breached = sorted(r.feature for r in verdict if r.breached)
-    unmonitored = sorted(r.feature for r in verdict if not r.monitored)
-    decision = {
+    aligned = materialize(align_to_features(snap, numeric_cols + categorical_cols, levels, categorical=categorical_cols, keep=["customer_id"]))  # PRJ6
+    own = baseline.where(F.col("feature") != drift.SCORE_FEATURE)
+    judge = (own, aligned, champion, numeric_cols, categorical_cols)
+    rule = (psi_threshold, persistence_window, persistence_min_breaches)
+    try:
+        rows = feature_report(*judge, drift_history, *rule).collect()  # one per feature
+    except Exception:  # noqa: BLE001
+        if drift_history is None:
+            raise
+        log.exception("drift history can't be read; every breach counts as the first")
+        rows = feature_report(*judge, None, *rule).collect()
+    breached, persistent = [r for r in rows if r.breached], [r for r in rows if r.persistent]
+    gate = quality_report(features, snapshot_date, snap, aligned, own, numeric_cols, categorical_cols)
+    failed = gate["data_quality_failed"]
+    decision = empty | score_report(baseline, scores) | {
         "champion_model": champion,
         "snapshot_date": snapshot_date,
+        "drift_detected": bool(persistent) and not failed,
+        "threshold": psi_threshold,
+        "feature_psi": {r.feature: r.psi for r in rows},
+        "feature_thresholds": {r.feature: r.threshold for r in rows},
+        "feature_null_rates": {r.feature: {"baseline": r.baseline_null_rate, "current": r.current_null_rate} for r in rows if r.baseline_null_rate is not None},
+        "breached_features": {r.feature: r.psi for r in breached},
+        "unmonitored_features": sorted(r.feature for r in rows if not r.monitored),
+        "current_sample_size": gate["row_count"] or aligned.count(),
         "run_drift_detected": bool(breached),
-        "breached_features": breached,
-        "unmonitored_features": unmonitored,
-        "reason": None,
-    }
-    decision |= {"score_psi": None, "score_threshold": None, "score_drift_detected": None} | _score_drift(baseline, scores)
-
-    # DR12: prior breaches of this champion; an unreadable history counts as none.
-    persistent = []
-    if breached:
-        try:
-            now = spark.createDataFrame([(r.feature, r.psi, r.breached) for r in verdict], "feature string, psi double, breached boolean")
-            hist = drift_history if drift_history is not None else spark.createDataFrame([], "run_ts timestamp_ntz, champion_model string, feature string, breached boolean")
-            p = history.apply_persistence(now, hist, champion, persistence_window, persistence_min_breaches).collect()
-            persistent = sorted(r.feature for r in p if r.persistent)
-        except ValueError:
-            raise
-        except Exception:  # noqa: BLE001
-            log.exception("drift history unreadable; treating this run as the first breach")
-            persistent = [f for f in breached if 1 >= persistence_min_breaches]
-    decision["persistent_breaches"] = persistent
-    decision["drift_detected"] = bool(persistent)
-
-    # DQ12: fail closed — an error in the check is a failed check.
-    try:
-        recent = quality.recent_partition_sizes(features, snapshot_date)
-        failures = quality.quality_failures(snap, feat_base, numeric_cols, categorical_cols, recent, source_columns=snap.columns).collect()
-        fail_text = [f"{r.check}:{r.feature}" if r.feature else r.check for r in failures]
-    except Exception:  # noqa: BLE001
-        log.exception("data-quality check errored; suppressing retraining")
-        fail_text = ["check_failed"]
-    decision["data_quality_failed"] = bool(fail_text)
-    decision["quality_failures"] = fail_text
-    decision["retrain_suppressed_by_data_quality"] = bool(fail_text) and decision["drift_detected"]
-    if fail_text:
-        decision["drift_detected"] = False
-
+        "persistence_window": persistence_window,
+        "persistence_min_breaches": persistence_min_breaches,
+        "breach_counts": {r.feature: r.breach_count for r in breached},
+        "persistent_breaches": {r.feature: r.psi for r in persistent},
+        "data_quality": gate,
+        "retrain_suppressed_by_data_quality": failed and bool(persistent),
+    }
     if history_path:
-        record_history(spark, verdict, decision, run_ts or dt.datetime.now(dt.UTC).replace(tzinfo=None), history_path)
+        record_history(spark, rows, decision, run_ts or dt.datetime.now(dt.UTC).replace(tzinfo=None), history_path)
     return spark.createDataFrame([decision], DECISION_SCHEMA)
 
 

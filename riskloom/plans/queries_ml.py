@@ -15,7 +15,9 @@ from riskloom.sources import scans
 
 NUM = D.FEATURE_NUMERIC
 CAT = D.FEATURE_CATEGORICAL
-FAST = {"maxIter": 15, "maxDepth": 3}
+# The sweep's registered run: how many candidates, and the share of the declared space they are drawn from.
+SWEEP_TRIALS = 2
+SWEEP_SPACE = dict(ml.SEARCH_SPACE, maxDepth=(3, 5, False, int), maxIter=(50, 60, False, int))
 
 
 def _split(spark, sf_dir):
@@ -29,23 +31,23 @@ def _train(spark, sf_dir):
 @register("ml2_ml6_feature_importance")
 def ml2_importance(spark, sf_dir):
     """Fit the classifier on the training split; its importances per feature."""
-    model = ml.fit(_train(spark, sf_dir), NUM, CAT, FAST)
+    model = ml.fit(_train(spark, sf_dir), NUM, CAT)
     return ml.importance_frame(spark, ml.feature_importance(model, NUM, CAT))
 
 
 @register("ml3_oof_threshold")
 def ml3_threshold(spark, sf_dir):
-    """Decision threshold from 3-fold out-of-fold scores of the training split."""
-    folded = D.stored(splits.stratified_folds(_train(spark, sf_dir), k=3))
-    return ml.cv_threshold(folded, NUM, CAT, 3, params=FAST)
+    """Decision threshold from out-of-fold scores of the training split."""
+    folded = D.stored(splits.stratified_folds(_train(spark, sf_dir), k=ml.FOLDS))
+    return ml.cv_threshold(folded, NUM, CAT, ml.FOLDS)
 
 
 @register("ml4_candidate_sweep")
 def ml4_sweep(spark, sf_dir):
-    """Two seeded candidates × 3 folds, fit concurrently; mean/std PR-AUC per candidate."""
-    folded = D.stored(splits.stratified_folds(_train(spark, sf_dir), k=3))
-    cands = [dict(c, maxIter=min(c["maxIter"], 20)) for c in ml.draw_candidates(2, seed=42)]
-    return ml.sweep(folded, NUM, CAT, 3, cands)
+    """Seeded candidates × folds, fit concurrently; mean/std PR-AUC per candidate.  ``ml.TRIALS`` and
+    ``ml.SEARCH_SPACE`` are the operator's defaults; this run names its own."""
+    folded = D.stored(splits.stratified_folds(_train(spark, sf_dir), k=ml.FOLDS))
+    return ml.sweep(folded, NUM, CAT, ml.FOLDS, ml.draw_candidates(SWEEP_TRIALS, seed=42, space=SWEEP_SPACE))
 
 
 def _model_scorer(model, features, threshold):
@@ -68,8 +70,8 @@ def ev10_evaluate(spark, sf_dir):
     train = scans.read_split(split, D.AS_OF, "train")
     test = scans.read_split(split, D.AS_OF, "test")
     feats = NUM + CAT
-    challenger = ml.fit(train, NUM, CAT, FAST)
-    champion = ml.fit(train, NUM, CAT, {"maxIter": 5, "maxDepth": 2})
+    challenger = ml.fit(train, NUM, CAT)
+    champion = ml.fit(train, NUM, CAT, {"maxDepth": 3})
     return evaluate_stage(
         test, _model_scorer(challenger, feats, 0.5), 0.5, _model_scorer(champion, feats, 0.5), 0.5, glob="part-*"
     )
@@ -78,7 +80,7 @@ def ev10_evaluate(spark, sf_dir):
 @register("ml5_prj8_batch_scoring")
 def ml5_batch_scoring(spark, sf_dir):
     """Score the newest snapshot with the stored threshold and upsert into the log."""
-    model = ml.fit(_train(spark, sf_dir), NUM, CAT, FAST)
+    model = ml.fit(_train(spark, sf_dir), NUM, CAT)
     snap = D.snapshot(spark, sf_dir)
     if not preprocess.has_any_feature(snap, NUM + CAT):  # PRJ8
         raise ValueError("input shares no column with the feature set")

@@ -231,4 +231,4 @@ FROM scored WHERE snapshot_date = (SELECT MAX(snapshot_date) FROM scored WHERE s
 )
 def src8_newest_successful(spark, sf_dir):
     jobs, outputs = D.batch_jobs(spark, sf_dir)
-    return history.newest_successful_output(jobs, outputs, "churn-predictor", "churn-batch-")
+    return history.newest_successful_output(jobs, outputs, "churn-predictor", "churn-batch-predict")

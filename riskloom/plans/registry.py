@@ -1,8 +1,9 @@
 """Registry of the queries checked by the driver: Spark callable + DuckDB oracle text.
 
 Every callable takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the whole
-driver tables (or data Spark derives from them).  Double columns are rounded to 6
-decimals on both sides before comparison (summation order differs between engines).
+driver tables (or data Spark derives from them).  For the comparison of the two engines
+double columns are rounded to 6 decimals on both sides (summation order differs);
+``full_precision()`` gives the same queries unrounded.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ class Entry:
     fn: Callable[[SparkSession, str], DataFrame]
     sql: str | None
     doubles: tuple[str, ...] = ()
+    exact: Callable[[SparkSession, str], DataFrame] | None = None
 
 
 REGISTRY: dict[str, Entry] = {}
@@ -27,9 +29,11 @@ REGISTRY: dict[str, Entry] = {}
 
 def _stable_round(c):
     """floor(x*1e6 + 0.5)/1e6 after the same step at 1e-9: plain IEEE arithmetic, so Spark
-    and DuckDB produce identical bits (their ROUND functions break ties differently)."""
+    and DuckDB produce identical bits (their ROUND functions break ties differently).  The
+    floor is ``v - v mod 1`` in doubles, so it holds at any size; infinities and NaN pass."""
     def step(x, scale):
-        return F.when(F.abs(x) < 1e9, F.floor(x * scale + 0.5) / scale).otherwise(x)
+        v = x * scale + 0.5
+        return F.when(F.isnan(x) | (F.abs(x) == float("inf")), x).otherwise((v - F.pmod(v, F.lit(1.0))) / scale)
 
     return step(step(c, 1e9), 1e6)
 
@@ -54,7 +58,7 @@ def _wrap_sql(sql: str, doubles: tuple[str, ...]) -> str:
 
 def _sql_round(c: str) -> str:
     def step(x, scale):
-        return f"(CASE WHEN abs({x}) < 1e9 THEN floor({x} * {scale} + 0.5) / {scale} ELSE {x} END)"
+        return f"(CASE WHEN isfinite({x}) THEN floor({x} * {scale} + 0.5) / {scale} ELSE {x} END)"
 
     return step(step(c, "1e9"), "1e6")
 
@@ -68,7 +72,7 @@ def register(name: str, sql: str | None = None, doubles: tuple[str, ...] | list[
 
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
-        REGISTRY[name] = Entry(run, sql if sql is None else _wrap_sql(sql, tuple(doubles)), tuple(doubles))
+        REGISTRY[name] = Entry(run, sql if sql is None else _wrap_sql(sql, tuple(doubles)), tuple(doubles), fn)
         return fn
 
     return deco
@@ -79,6 +83,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v.fn for k, v in REGISTRY.items()}
 
 
+def full_precision() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """The queries as a user gets them: doubles as computed."""
+    _load()
+    return {k: v.exact for k, v in REGISTRY.items()}
+
+
 def oracle_sql() -> dict[str, str]:
     _load()
     return {k: v.sql for k, v in REGISTRY.items() if v.sql is not None}

@@ -70,7 +70,14 @@ def merge_by_key(target: DataFrame, source: DataFrame, keys: list[str]) -> DataF
 
     ``target ⟕anti source`` ∪ ``source``: one shuffle on the keys, no update in place; the
     caller publishes the result as a new version (or overwrites the touched partitions).
+    A key that the source holds twice is an error, raised when the result is computed.
     """
+    twice = F.raise_error(F.concat(F.lit("duplicate key in the source: "), F.concat_ws("|", *[F.col(k).cast("string") for k in keys])))
+    rest = [c for c in source.columns if c not in keys]
+    held = F.count(F.lit(1)).alias("_n")
+    once = source.groupBy(*keys).agg(held, F.any_value(F.struct(*rest) if rest else F.lit(1)).alias("_v"))
+    once = once.withColumn("_n", F.when(F.col("_n") > 1, twice.cast("long")).otherwise(F.col("_n"))).where("_n = 1")
+    source = once.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in rest])
     kept = target.join(source.select(*keys), keys, "left_anti")
     return kept.unionByName(source.select(*target.columns))
 
@@ -88,7 +95,10 @@ def require_rows(df: DataFrame, what: str = "scored rows") -> None:
         raise RuntimeError(f"run succeeded with no {what}")
 
 
-def batch_source_export(split_rows: DataFrame, path: str, drop: list[str] = ("churned", "split", "assigned_at")) -> None:
+NOT_EXPORTED = ("churned", "split", "assigned_at")
+
+
+def batch_source_export(split_rows: DataFrame, path: str, drop: list[str] = NOT_EXPORTED) -> None:
     """SNK6: the rows to score as newline-delimited JSON, label and bookkeeping removed.
     NULL fields are omitted from each record (as the exporter does)."""
     split_rows.drop(*drop).write.mode("overwrite").json(path)
@@ -112,8 +122,3 @@ def decision_json(decision: dict) -> str:
         return v
 
     return json.dumps(clean(decision), sort_keys=True)
-
-
-def decision_frame(df: DataFrame) -> DataFrame:
-    """SNK9 on a one-row DataFrame: ``to_json`` omits NULL fields by default."""
-    return df.select(F.to_json(F.struct(*df.columns)).alias("decision"))

@@ -51,6 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         current = current.get() if current.isDefined() else None
     if not current:
+        if not fallback and not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is unset: name a folder that driver and executors share")
         current = fallback or os.path.join(os.environ.get("TMPDIR", "/tmp"), "riskloom-checkpoints")
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():

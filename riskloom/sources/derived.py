@@ -179,7 +179,7 @@ def batch_jobs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     newest = jobs.agg(F.max("snapshot_date")).scalar()
     jobs = jobs.select(
         F.concat(F.lit("job-"), F.date_format("snapshot_date", "yyyyMMdd")).alias("job_id"),
-        F.concat(F.lit("churn-batch-"), F.date_format("snapshot_date", "yyyyMMdd")).alias("display_name"),
+        F.lit("churn-batch-predict").alias("display_name"),
         F.lit("churn-predictor").alias("model"),
         F.when(F.col("snapshot_date") == newest, "FAILED").otherwise("SUCCEEDED").alias("state"),
         "create_time",

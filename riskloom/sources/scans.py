@@ -72,8 +72,11 @@ def read_prediction_shards(spark: SparkSession, directory: str, glob: str = "pre
         .json(directory)
     )
     p = F.col("prediction.churn_probability")
+    # where a record stands: file, block, and order inside the block
+    df = df.select("*", "_metadata.file_name", "_metadata.file_block_start").withColumn("_at", F.monotonically_increasing_id())
     return df.select(
         "customer_id",
+        F.struct("file_name", "file_block_start", "_at").alias("_place"),
         F.when(p.isNull() | (p < 0) | (p > 1), F.raise_error(F.lit("churn_probability outside [0, 1] or missing"))).otherwise(p).alias("churn_probability"),
         F.col("prediction.churn_prediction").alias("churn_prediction"),
     )
@@ -86,6 +89,10 @@ METADATA_SCHEMA = T.StructType(
         T.StructField("threshold", T.DoubleType()),
         T.StructField("categorical_categories", T.MapType(T.StringType(), T.ArrayType(T.StringType()))),
         T.StructField("importances", T.MapType(T.StringType(), T.DoubleType())),
+        T.StructField("shap_importance", T.MapType(T.StringType(), T.DoubleType())),
+        T.StructField("baseline_stats", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("training_snapshot_date", T.StringType()),
+        T.StructField("row_count", T.LongType()),
         T.StructField("trained_at", T.StringType()),
     ]
 )

@@ -1,10 +1,10 @@
 """Streaming re-aims of the ingestion path (ST1–ST3).
 
 The reference has no streaming engine: it appends events and recomputes in batch.  These
-jobs are the streaming form of the same steps: land files as they arrive (exactly once via
-the checkpoint), drop replayed event ids inside a watermark, and upsert scores per
-micro-batch.  Batch staging stays authoritative (it keeps the *newest* copy of a
-duplicate; the streaming de-duplication keeps the *first* one seen).
+jobs are the streaming form of the same steps: land every file's rows as they arrive (exactly
+once via the checkpoint), and upsert scores per micro-batch.  Landing drops nothing: files hold
+weeks of events, so a watermark short enough to bound state would lose late ones.  Copies of
+an event go in batch staging, which keeps the newest.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskloom.operators.features import dedupe_newest
 from riskloom.plans import sinks
 from riskloom.session import materialize
 
@@ -35,9 +36,6 @@ CDC_SCHEMA = T.StructType(
         T.StructField("anomaly_injected", T.BooleanType()),
     ]
 )
-WATERMARK = "2 hours"
-
-
 def event_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """A stream over parquet files landing in ``source_dir`` (explicit schema, no inference)."""
     r = spark.readStream.schema(CDC_SCHEMA)
@@ -46,12 +44,18 @@ def event_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: in
     return r.parquet(source_dir)
 
 
-def dedupe_within_watermark(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:
-    """ST2: drop replays of an event id arriving within ``watermark`` of the first copy.
-    State is bounded by the watermark, not by the history of ids.  Watermarks need an
+def dedupe_within_watermark(events: DataFrame, lateness: str) -> DataFrame:
+    """ST2: drop replays of an event id that arrive within ``lateness`` of the first copy, for
+    sources that promise to be no later than that: rows behind the watermark are dropped by
+    Spark, so the caller must name the source's own bound.  State is bounded by it.  Watermarks need an
     instant type, so the UTC wall-clock timestamp is read as an instant (session zone UTC)."""
     timed = events.withColumn("_event_time", F.col("event_timestamp").cast("timestamp"))
-    return timed.withWatermark("_event_time", watermark).dropDuplicatesWithinWatermark(["event_id"]).drop("_event_time")
+    return timed.withWatermark("_event_time", lateness).dropDuplicatesWithinWatermark(["event_id"]).drop("_event_time")
+
+
+def landed_events(spark: SparkSession, sink_dir: str) -> DataFrame:
+    """ST2 in batch: the landed table with one row, the newest, per event id."""
+    return dedupe_newest(spark.read.parquet(sink_dir).drop("event_date"))
 
 
 def land_events(events: DataFrame, sink_dir: str, checkpoint_dir: str):
@@ -71,6 +75,12 @@ def land_events(events: DataFrame, sink_dir: str, checkpoint_dir: str):
     return q
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Is there a table at ``path``?  Only a missing folder says no."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
+
+
 def upsert_scores(scores: DataFrame, target_dir: str, checkpoint_dir: str, keys: list[str] = ("customer_id", "snapshot_date")):
     """ST3: per micro-batch, source-wins merge into the date-partitioned prediction table
     (SNK3), overwriting only the touched partitions.  The merged rows are materialised
@@ -80,13 +90,15 @@ def upsert_scores(scores: DataFrame, target_dir: str, checkpoint_dir: str, keys:
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.dropDuplicates(keys)
+        rest = [c for c in batch.columns if c not in keys and c != "predicted_at"]
+        newest = F.max(F.struct("predicted_at", *rest)).alias("_n")  # a key's newest score counts
+        batch = batch.groupBy(*keys).agg(newest).select(*keys, "_n.*").select(batch.columns)
         dates = [r[0] for r in batch.select("snapshot_date").distinct().collect()]  # touched partitions (few)
-        try:
+        if table_exists(spark, target_dir):  # any error while reading it is raised
             current = spark.read.parquet(target_dir).where(F.col("snapshot_date").isin(dates))
-        except Exception:  # noqa: BLE001 - first batch: no table yet
-            current = None
-        merged = batch if current is None else sinks.merge_by_key(current.select(*batch.columns), batch, keys)
+            merged = sinks.merge_by_key(current.select(*batch.columns), batch, keys)
+        else:
+            merged = batch
         merged = materialize(merged)
         merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_date").parquet(target_dir)
 

@@ -40,6 +40,13 @@ def test_merge_is_source_wins_and_idempotent(spark):
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect())) == [(1, 0.1), (2, 0.9), (3, 0.3)]
 
 
+def test_merge_refuses_duplicate_source_keys(spark):
+    t = spark.createDataFrame([(1, 0.1)], "customer_id long, p double")
+    s = spark.createDataFrame([(2, 0.9), (2, 0.3)], "customer_id long, p double")
+    with pytest.raises(Exception, match="duplicate key"):
+        sinks.merge_by_key(t, s, ["customer_id"]).collect()
+
+
 def test_decision_document_omits_absent_and_keeps_infinity():
     doc = json.loads(sinks.decision_json({"a": None, "edges": [float("-inf"), 1.0, float("inf")], "nested": {"x": None, "y": 1}}))
     assert doc == {"edges": ["-Infinity", 1.0, "Infinity"], "nested": {"y": 1}}
@@ -68,18 +75,24 @@ def test_prediction_shards_only_matching_files_and_range_checked(spark):
 def test_raw_vs_engineered_gap_report(spark):
     raw = spark.createDataFrame([], "event_id long, channel string, region string")
     eng = spark.createDataFrame([], "region string, preferred_channel string")
-    out = {r.raw_field: r.captured_as for r in explore.raw_vs_engineered(spark, raw, eng).collect()}
+    out = {r.raw_field: r.captured_as for r in explore.raw_vs_engineered(spark, raw, eng, {"channel": "preferred_channel, the most frequent"}).collect()}
     assert set(out) == {"event_id", "channel"} and out["channel"].startswith("preferred_channel")
 
 
 def test_trend_bounds(spark):
     t = spark.createDataFrame(
-        [(dt.date(2024, 1, 1), 10, 2, 1, 0.3, 0.2, 1), (dt.date(2024, 1, 2), 10, 2, 1, 1.3, None, 0)],
+        [(dt.date(2024, 1, 1), 10, 2, 1, 0.3, 0.2, 1), (dt.date(2024, 1, 2), 10, 2, 1, 1.3, None, 0), (dt.date(2024, 1, 3), None, 2, 1, 0.2, 1.5, 1)],
         "snapshot_date date, customers_scored long, predicted_churners long, high_risk_customers long, "
         "mean_churn_probability double, predicted_churn_rate double, model_versions_used long",
     )
     bad = {(r.snapshot_date.day, r.column_name) for r in quality.trend_violations(t).collect()}
-    assert bad == {(2, "mean_churn_probability"), (2, "model_versions_used")}
+    assert bad == {(3, "predicted_churn_rate"), (3, "customers_scored")}
+    with pytest.raises(quality.MartContractError):
+        quality.validated_trend(t)
+    good = t.where(F.dayofmonth("snapshot_date") < 3).orderBy(F.desc("snapshot_date"))
+    assert [r.snapshot_date.day for r in quality.validated_trend(good).collect()] == [1, 2]
+    with pytest.raises(quality.MartContractError):
+        quality.require_columns(t)
 
 
 def test_indicator_text(spark):
@@ -88,6 +101,6 @@ def test_indicator_text(spark):
         "feature string, value double, cohort double",
     )
     t = {r.feature: r.detail for r in risk.indicator_text(ind).collect()}
-    assert t["payment_failure_rate_30d"] == "2.5x the cohort median of 20%"
-    assert t["avg_engagement_30d"] == "4.0x below the cohort median of 0.4"
-    assert t["days_since_last_successful_payment"] == "no successful payment on record"
+    assert t["payment_failure_rate_30d"] == "2.5× the cohort median of 20%"
+    assert t["avg_engagement_30d"] == "4.0× below the cohort median of 0.4"
+    assert t["days_since_last_successful_payment"] == "never recorded a successful payment"

@@ -4,15 +4,23 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from riskloom.operators.ordered import hex_bucket, log_bucket, ranked, running_sums
+from riskloom.operators.ordered import BUCKET_COL, hex_bucket, range_bucketed, ranked, running_sums
 from riskloom.operators.quantiles import exact_quantiles, value_counts
 
 
-def test_log_bucket_is_monotone(spark):
-    vals = sorted({0.0, -1e-300, 1e-300, -5.5, -5.4999, 1e-4, 0.5, 0.50001, 1.0, 3e12, -3e12, 7.0})
-    df = spark.createDataFrame([(v,) for v in vals], "v double")
-    b = [r.b for r in df.select(log_bucket(F.col("v")).alias("b")).orderBy("v").collect()]
-    assert b == sorted(b)
+def test_narrow_values_spread_over_buckets(spark):
+    df = spark.range(20000).select((F.lit(0.9999) + F.col("id") / 1e9).alias("v"))
+    dealt = range_bucketed(df, [], "v").groupBy(BUCKET_COL).agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("lo").toPandas()
+    assert len(dealt) >= 4 and dealt["n"].max() < 20000 / 3
+    assert (dealt["hi"][:-1].to_numpy() < dealt["lo"][1:].to_numpy()).all()
+    assert dealt[BUCKET_COL].is_monotonic_increasing
+
+
+def test_quantiles_with_infinity_and_nan(spark):
+    vals = [1.0, 2.0, float("inf"), float("nan"), -4.0]
+    df = spark.createDataFrame([("f", v) for v in vals], "feature string, value double")
+    q = exact_quantiles(value_counts(df, ["feature"], "value"), ["feature"], "value", [0.0, 1 / 3, 1.0]).orderBy("q_index").toPandas()
+    assert q["quantile"].tolist() == [-4.0, 1.0, float("inf")]
 
 
 def test_running_sums_match_pandas(spark):

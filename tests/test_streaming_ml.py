@@ -1,30 +1,42 @@
 """Streaming jobs and pyspark.ml properties (scores are not compared to another library)."""
 
+import datetime as dt
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from riskloom.operators import ml, splits
 from riskloom.plans.evaluate import rejoin_scores, scratch_dir
 from riskloom.sources import derived as D
+from riskloom.sources import scans
 from riskloom.sources.event_log import activity_log
+from riskloom.streaming import landing
 
 from .conftest import SF_SMALL
 
 
-def test_stream_landing_drops_replays(spark):
-    out = entry.queries()["st1_st2_stream_landing"](spark, SF_SMALL)
+@pytest.mark.parametrize("files", [1, 3])
+def test_landing_loses_no_event(spark, files):
+    base = scratch_dir(spark, "landing-test")
     raw = activity_log(spark, SF_SMALL)
-    assert out.count() == raw.select("event_id").distinct().count()
-    assert out.groupBy("event_id").count().where("count > 1").count() == 0
+    raw.repartition(6, "event_id").write.parquet(f"{base}/in")
+    landing.land_events(landing.event_stream(spark, f"{base}/in", files), f"{base}/table", f"{base}/ckpt")
+    assert spark.read.parquet(f"{base}/table").count() == raw.count()
+    assert landing.landed_events(spark, f"{base}/table").count() == raw.select("event_id").distinct().count()
 
 
-def test_stream_upsert_is_keyed(spark):
-    out = entry.queries()["st3_stream_score_upsert"](spark, SF_SMALL)
-    assert out.groupBy("customer_id", "snapshot_date").count().where("count > 1").count() == 0
-    assert out.count() == D.predictions(spark, SF_SMALL).count()
+def test_upsert_raises_when_the_table_cannot_be_read(spark):
+    base = scratch_dir(spark, "upsert-test")
+    rows = spark.createDataFrame([(1, dt.date(2024, 1, 1), 0.5, dt.datetime(2024, 1, 1, 3))], "customer_id long, snapshot_date date, churn_probability double, predicted_at timestamp_ntz")
+    rows.write.parquet(f"{base}/in")
+    os.makedirs(f"{base}/target/snapshot_date=2024-01-01")
+    with open(f"{base}/target/snapshot_date=2024-01-01/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{base}/in")
+    with pytest.raises(Exception):  # noqa: B017
+        landing.upsert_scores(stream, f"{base}/target", f"{base}/ckpt")
+    assert os.listdir(f"{base}/target/snapshot_date=2024-01-01") == ["part-0.parquet"]
 
 
 def test_stratified_folds_are_balanced(spark):
@@ -65,7 +77,23 @@ def test_candidates_respect_bounds():
 def test_rejoin_raises_on_missing_ids(spark):
     d = scratch_dir(spark, "t")
     spark.createDataFrame([("1", 0.5)], "customer_id string, churn_probability double").write.json(d)
-    scores = spark.read.json(d)
+    scores = spark.read.json(d).withColumn("_place", F.monotonically_increasing_id())
     req = spark.createDataFrame([("1", 1), ("2", 0)], "customer_id string, y int")
     with pytest.raises(LookupError):
         rejoin_scores(req, scores)
+
+
+def test_rejoin_keeps_the_last_record(spark):
+    d = scratch_dir(spark, "t")
+    os.makedirs(d)
+    for name, p in (("prediction.results-00001", [0.2, 0.9]), ("prediction.results-00000", [0.4])):
+        with open(f"{d}/{name}", "w") as f:
+            f.writelines(f'{{"customer_id": "1", "prediction": {{"churn_probability": {x}, "churn_prediction": true}}}}\n' for x in p)
+    req = spark.createDataFrame([("1", 1)], "customer_id string, y int")
+    assert rejoin_scores(req, scans.read_prediction_shards(spark, d)).first().churn_probability == 0.9
+
+
+def test_training_with_an_empty_column_and_many_levels(spark):
+    rows = spark.range(400).select(F.col("id").alias("customer_id"), (F.col("id") % 3 == 0).alias("churned"), F.lit(None).cast("double").alias("a"), (F.col("id") % 7).cast("double").alias("b"), (F.col("id") % 90).cast("string").alias("c"))
+    model = ml.fit(rows, ["a", "b"], ["c"], {"maxIter": 2, "maxDepth": 2})
+    assert ml.score(model, rows, ["a", "b"]).count() == 400
