@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.operators import metrics
+from riskloom.session import materialize
 
 LABEL = "y"
 WEIGHT = "w"
@@ -48,20 +49,22 @@ def with_class_weight(df: DataFrame, label: str = LABEL) -> DataFrame:
     return df.withColumn(WEIGHT, F.when(F.col(label) == 1, F.coalesce(ratio, F.lit(1.0))).otherwise(F.lit(1.0)))
 
 
-def build_pipeline(numeric: list[str], categorical: list[str], params: dict | None = None, seed: int = 42, levels: int = 0) -> Pipeline:
-    """ML2: indicator + median imputation for numerics, indexing for categoricals, GBT.
-    ``levels``: the most levels any categorical has; a split must have a bin for each."""
-    p = dict(DEFAULT_PARAMS, **(params or {}))
-    p["featureSubsetStrategy"] = str(p["featureSubsetStrategy"])
+def feature_stages(numeric: list[str], categorical: list[str]) -> list:
+    """ML2: indicator + median imputation for numerics, indexing for categoricals, one vector."""
     imputed = [f"{c}__imp" for c in numeric]
     indexed = [f"{c}__idx" for c in categorical]
-    stages = [
+    return [
         Imputer(inputCols=numeric, outputCols=imputed, strategy="median"),
         StringIndexer(inputCols=categorical, outputCols=indexed, handleInvalid="keep"),
         VectorAssembler(inputCols=[*imputed, *[f"{c}__na" for c in numeric], *indexed], outputCol="features", handleInvalid="keep"),
-        GBTClassifier(labelCol=LABEL, weightCol=WEIGHT, featuresCol="features", seed=seed, maxBins=max(32, levels + 2), **p),
     ]
-    return Pipeline(stages=stages)
+
+
+def booster(params: dict | None = None, seed: int = 42, levels: int = 0) -> GBTClassifier:
+    """``levels``: the most levels any categorical has; a split must have a bin for each."""
+    p = dict(DEFAULT_PARAMS, **(params or {}))
+    p["featureSubsetStrategy"] = str(p["featureSubsetStrategy"])
+    return GBTClassifier(labelCol=LABEL, weightCol=WEIGHT, featuresCol="features", seed=seed, maxBins=max(32, levels + 2), **p)
 
 
 def prepare(df: DataFrame, numeric: list[str], label_col: str | None = "churned") -> DataFrame:
@@ -74,9 +77,9 @@ def prepare(df: DataFrame, numeric: list[str], label_col: str | None = "churned"
     return out
 
 
-def fit(train: DataFrame, numeric: list[str], categorical: list[str], params: dict | None = None, seed: int = 42) -> PipelineModel:
-    """A numeric column without a single value is filled with 0 before imputing: its indicator
-    says all there is to know."""
+def ready_for_training(train: DataFrame, numeric: list[str], categorical: list[str]) -> tuple[DataFrame, int]:
+    """(weighted training rows, the most levels of a categorical).  A numeric column without a
+    single value is filled with 0 before imputing: its indicator says all there is to know."""
     ready = prepare(train, numeric)
     seen = ready.agg(
         *[F.count(F.when(~F.isnan(c), F.col(c))).alias(f"n_{c}") for c in numeric],
@@ -84,8 +87,12 @@ def fit(train: DataFrame, numeric: list[str], categorical: list[str], params: di
     ).first()
     empty = [c for c in numeric if not seen[f"n_{c}"]]
     ready = ready.withColumns({c: F.lit(0.0) for c in empty}) if empty else ready
-    levels = max([int(1.1 * seen[f"k_{c}"]) + 2 for c in categorical], default=0)
-    return build_pipeline(numeric, categorical, params, seed, levels).fit(with_class_weight(ready))
+    return with_class_weight(ready), max([int(1.1 * seen[f"k_{c}"]) + 2 for c in categorical], default=0)
+
+
+def fit(train: DataFrame, numeric: list[str], categorical: list[str], params: dict | None = None, seed: int = 42) -> PipelineModel:
+    ready, levels = ready_for_training(train, numeric, categorical)
+    return Pipeline(stages=[*feature_stages(numeric, categorical), booster(params, seed, levels)]).fit(ready)
 
 
 def score(model: PipelineModel, df: DataFrame, numeric: list[str], keep: list[str] = ("customer_id",)) -> DataFrame:
@@ -94,17 +101,41 @@ def score(model: PipelineModel, df: DataFrame, numeric: list[str], keep: list[st
     return out.select(*[c for c in keep if c in out.columns], vector_to_array("probability")[1].alias("churn_probability"))
 
 
-def oof_scores(folded: DataFrame, numeric: list[str], categorical: list[str], k: int, params: dict | None = None, seed: int = 42) -> DataFrame:
-    """ML3: out-of-fold scores — fold j is scored by a model fit on the other folds."""
-    parts = []
-    for j in range(k):
-        m = fit(folded.where(F.col("fold") != j), numeric, categorical, params, seed)
-        s = score(m, folded.where(F.col("fold") == j), numeric, keep=["customer_id", "churned"])
-        parts.append(s)
+def fold_vectors(folded: DataFrame, numeric: list[str], categorical: list[str], j: int) -> tuple[DataFrame, DataFrame, int]:
+    """Fold ``j`` prepared once for all candidates: (training vectors, vectors to score, levels).
+    Both are persisted, as boosting passes over them for every level of every tree."""
+    ready, levels = ready_for_training(folded.where(F.col("fold") != j), numeric, categorical)
+    model = Pipeline(stages=feature_stages(numeric, categorical)).fit(ready)
+    rest = prepare(folded.where(F.col("fold") == j), numeric)
+    return model.transform(ready).select(LABEL, WEIGHT, "features").persist(), model.transform(rest).select(LABEL, "features").persist(), levels
+
+
+def fold_scores(folded: DataFrame, numeric: list[str], categorical: list[str], k: int, candidates: list[dict | None], seed: int = 42, parallelism: int = 4) -> DataFrame:
+    """(model, y, score) of every candidate on every fold, scored by a model fit on the other
+    folds; ``model`` is "candidate:fold".  Folds are prepared, and candidates fit, concurrently."""
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        data = list(pool.map(lambda j: fold_vectors(folded, numeric, categorical, j), range(k)))
+
+        def run(ij: tuple[int, int]) -> DataFrame:
+            i, j = ij
+            train, rest, levels = data[j]
+            out = booster(candidates[i], seed, levels).fit(train).transform(rest)
+            return out.select(F.lit(f"{i}:{j}").alias("model"), F.col(LABEL).alias("y"), vector_to_array("probability")[1].alias("score"))
+
+        parts = list(pool.map(run, [(i, j) for i in range(len(candidates)) for j in range(k)]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.select(F.lit("oof").alias("model"), F.col("churned").cast("int").alias("y"), F.col("churn_probability").alias("score"))
+    out = materialize(out)
+    for train, rest, _ in data:
+        train.unpersist()
+        rest.unpersist()
+    return out
+
+
+def oof_scores(folded: DataFrame, numeric: list[str], categorical: list[str], k: int = FOLDS, params: dict | None = None, seed: int = 42) -> DataFrame:
+    """ML3: out-of-fold scores — fold j is scored by a model fit on the other folds."""
+    return fold_scores(folded, numeric, categorical, k, [params], seed).withColumn("model", F.lit("oof"))
 
 
 def cv_threshold(folded: DataFrame, numeric: list[str], categorical: list[str], k: int, target_recall: float = metrics.TARGET_RECALL, params: dict | None = None) -> DataFrame:
@@ -128,22 +159,10 @@ def draw_candidates(n: int = TRIALS, seed: int = 42, space: dict = SEARCH_SPACE)
 
 
 def sweep(folded: DataFrame, numeric: list[str], categorical: list[str], k: int, candidates: list[dict], parallelism: int = 4) -> DataFrame:
-    """ML4: mean and std of fold PR-AUC per candidate; best = highest mean.  Fold models
-    are fit concurrently; PR-AUC of all (candidate, fold) scores is one grouped job."""
+    """ML4: mean and std of fold PR-AUC per candidate; best = highest mean.  PR-AUC of all
+    (candidate, fold) scores is one grouped job."""
     spark = folded.sparkSession
-    jobs = [(i, j) for i in range(len(candidates)) for j in range(k)]
-
-    def run(ij):
-        i, j = ij
-        m = fit(folded.where(F.col("fold") != j), numeric, categorical, candidates[i])
-        s = score(m, folded.where(F.col("fold") == j), numeric, keep=["customer_id", "churned"])
-        return s.select(F.lit(f"{i}:{j}").alias("model"), F.col("churned").cast("int").alias("y"), F.col("churn_probability").alias("score"))
-
-    with ThreadPoolExecutor(max_workers=parallelism) as ex:
-        parts = list(ex.map(run, jobs))
-    allp = parts[0]
-    for p in parts[1:]:
-        allp = allp.unionByName(p)
+    allp = fold_scores(folded, numeric, categorical, k, candidates, parallelism=parallelism)
     ap = metrics.average_precision(metrics.cumulative(allp))
     ap = ap.select(F.split("model", ":")[0].cast("int").alias("candidate"), "pr_auc")
     res = ap.groupBy("candidate").agg(F.avg("pr_auc").alias("mean_pr_auc"), F.stddev_pop("pr_auc").alias("std_pr_auc"))

@@ -109,7 +109,6 @@ def dr7_feature_psi(spark, sf_dir):
 @register("dr9_noise_floor")
 def dr9_noise_floor(spark, sf_dir):
     cur = D.lineitem_period(spark, sf_dir, "current")
-    b = _li_baseline(spark, sf_dir)
     b = _frozen_li(spark, sf_dir)
     # n = rows of the live sample, as a scalar subquery (no collect, no cross join).
     sizes = b.select("feature").distinct().withColumn("n", cur.agg(F.count(F.lit(1))).scalar())
