@@ -104,7 +104,25 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.tokens(table(spark, sf_dir, "documents"), packing.default_tokenizer()))
 
 
-@query("op8_minhash_near_dedup")
+@query(
+    "op8_minhash_near_dedup",
+    r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, sh FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+           ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) END) AS sh FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT x, y FROM common JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * c >= 85 * (p.n + q.n - c)),
+e AS (SELECT x AS u, y AS v FROM link UNION ALL SELECT y, x FROM link),
+r AS (SELECT u, v FROM e UNION SELECT r.u, e.v FROM r JOIN e ON r.v = e.u),
+m AS (SELECT u, min(least(u, v)) AS c FROM r GROUP BY u)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(m.c, w.doc_id) AS component_id, coalesce(m.c, w.doc_id) = w.doc_id AS kept
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN m ON m.u = w.doc_id""",
+)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -114,7 +132,53 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("llr_per_byte")
 
 
-@query("op9_url_filter")
+@query(
+    "op9_url_filter",
+    r"""
+WITH RECURSIVE p AS (
+  SELECT page_id, url, coalesce(html, '') AS html,
+         translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+tag AS (SELECT url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS t FROM p),
+link AS (
+  SELECT DISTINCT url, replace(CASE
+    WHEN regexp_matches(t, '(?is)^<link\b[^>]*\brel\s*=\s*["'']?canonical\b') THEN regexp_extract(t, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)
+    WHEN regexp_matches(t, '(?is)^<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b') THEN regexp_extract(t, '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1)
+    END, '&amp;', '&') AS l
+  FROM tag WHERE url IS NOT NULL),
+target AS (
+  SELECT url, CASE
+    WHEN contains(l, '://') THEN l
+    WHEN starts_with(l, '//') THEN regexp_replace(regexp_extract(url, '(?s)^(.*?://)', 1), '//$', '') || l
+    WHEN starts_with(l, '/') THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || l
+    ELSE regexp_extract(url, '(?s)^(.*?://[^/?#]*(?:/[^?#]*)?)/[^/?#]*(?:[?#].*)?$', 1) || '/' || l END AS l
+  FROM link WHERE l <> ''),
+u AS (SELECT url FROM p UNION SELECT l FROM target),
+h AS (
+  SELECT url, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
+         regexp_replace(regexp_replace(coalesce(regexp_extract(url, '(?s)^[^?#]*\?([^#]*)', 1), ''), '(^|&)(ref|utm_[a-z]+|gclid|fbclid)=[^&]*', '', 'gi'), '^&', '') AS asked
+  FROM u),
+n AS (
+  SELECT url, CASE WHEN host = '' THEN url ELSE host || regexp_replace(regexp_replace(path, '(/index)?\.html?$', ''), '/+$', '') || CASE WHEN asked <> '' THEN '?' || asked ELSE '' END END AS node,
+    CASE WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+         WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+         WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+         WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM h),
+e AS (
+  SELECT a.node AS x, b.node AS y FROM target JOIN n a ON a.url = target.url JOIN n b ON b.url = target.l
+  UNION SELECT b.node, a.node FROM target JOIN n a ON a.url = target.url JOIN n b ON b.url = target.l),
+r AS (SELECT DISTINCT node AS x, node AS y FROM n WHERE node IS NOT NULL UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x),
+seen AS (
+  SELECT r.x AS node, bool_or(rule IN ('example.net/en/', 'org/fr/')) AS allowed, bool_or(rule IN ('net/', 'example.com/de/')) AS blocked
+  FROM r JOIN n ON n.node = r.y GROUP BY r.x)
+SELECT p.page_id, p.host, p.path, n.rule,
+       CASE WHEN n.rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN n.rule IS NOT NULL THEN 'block'
+            WHEN NOT coalesce(allowed, FALSE) AND blocked THEN 'block' ELSE 'allow' END AS verdict
+FROM p LEFT JOIN n ON n.url = p.url LEFT JOIN seen ON seen.node = n.node""",
+)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages")).drop("target")
 
@@ -124,7 +188,28 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.lm_scores(table(spark, sf_dir, "documents")).drop("per_token")
 
 
-@query("op4_suffix_dedup")
+@query(
+    "op4_suffix_dedup",
+    r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (
+  SELECT doc_id, i, md5(substr(h, 2 * i + 1, 400)) AS k
+  FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 199)) AS i FROM d WHERE length(h) >= 400)),
+again AS (SELECT k FROM w GROUP BY k HAVING count(*) > 1),
+r AS (SELECT doc_id, i, i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 200 AS gap FROM w SEMI JOIN again USING (k)),
+g AS (SELECT doc_id, i, count(*) FILTER (WHERE gap) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM r),
+span AS (SELECT doc_id, min(i) AS lo, max(i) + 200 AS hi FROM g GROUP BY doc_id, run),
+cut AS (SELECT doc_id, lo, hi, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS last FROM span),
+part AS (
+  SELECT doc_id, last, substr(h, 2 * last + 1, 2 * (lo - last)) AS p FROM cut JOIN d USING (doc_id)
+  UNION ALL
+  SELECT doc_id, hi, substr(h, 2 * hi + 1) FROM (SELECT doc_id, max(hi) AS hi FROM span GROUP BY doc_id) JOIN d USING (doc_id)),
+kept AS (SELECT doc_id, string_agg(p, '' ORDER BY last) AS h FROM part GROUP BY doc_id),
+size AS (SELECT doc_id, count(*) AS n, sum(hi - lo) AS b FROM span GROUP BY doc_id)
+SELECT d.doc_id, length(d.h) // 2 AS n_bytes, CAST(coalesce(b, 0) AS BIGINT) AS n_removed, coalesce(n, 0) AS n_spans,
+       sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN size USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 

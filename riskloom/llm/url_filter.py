@@ -58,7 +58,7 @@ def normal_form(url: Column) -> Column:
     whole URL if it has no host."""
     path = F.regexp_replace(F.regexp_replace(path_of(url), r"(/index)?\.html?$", ""), r"/+$", "")
     asked = F.regexp_extract(url, r"(?s)^[^?#]*\?([^#]*)", 1)
-    asked = F.regexp_replace(F.regexp_replace(asked, rf"(?i)(?<=^|&)({'|'.join(TRACKING)})=[^&]*&?", ""), "&$", "")
+    asked = F.regexp_replace(F.regexp_replace(asked, rf"(?i)(^|&)({'|'.join(TRACKING)})=[^&]*", ""), "^&", "")
     whole = F.concat(host_of(url), path, F.when(asked != "", F.concat(F.lit("?"), asked)).otherwise(F.lit("")))
     return F.when(host_of(url) == "", url).otherwise(whole)
 
