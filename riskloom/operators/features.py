@@ -79,6 +79,7 @@ FEATURE_COLUMNS = [
 ]
 
 AGGREGATE_COLUMNS = FEATURE_COLUMNS[5:19]
+NO_CHANNEL = "\uffff"  # stands for NULL inside the mode and sorts after every channel
 LATEST_STATE_COLUMNS = ["membership_tier", "region", "member_since_days", "contact_requests_last_30d", "churned"]
 
 
@@ -144,8 +145,9 @@ def _aggregate_exprs(as_of) -> list[Column]:
         safe_divide(F.count_if(F.col("event_type") == "campaign_action"), F.count(F.lit(1))).alias(
             "campaign_participation_rate"
         ),
-        # AG6: most frequent channel, ties to the smallest value (bounded map buffer).
-        F.mode("channel", True).alias("preferred_channel"),
+        # AG6: most frequent channel (bounded map buffer).  A missing channel counts as a value, as in the
+        # dialect the feature comes from; ties go to the smallest present value.
+        F.nullif(F.mode(F.coalesce("channel", F.lit(NO_CHANNEL)), True), F.lit(NO_CHANNEL)).alias("preferred_channel"),
         F.count(F.lit(1)).alias("total_events"),
         F.count_if(in30).alias("events_last_30d"),
         F.count_if(in90).alias("events_last_90d"),

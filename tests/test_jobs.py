@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators import drift, features, history, quality, risk
+from riskloom.plans import jobs
 
 
 def _events(spark, rows):
@@ -37,6 +38,39 @@ def test_never_paid_recency_is_null_and_windows_are_inclusive(spark):
     assert snap[2].events_last_30d == 0 and snap[2].payment_failure_rate_30d is None
 
 
+def test_missing_channels_count_as_a_value(spark):
+    rows = [_ev(1, 1, 1, channel=None), _ev(2, 2, 1, channel=None), _ev(3, 3, 1), _ev(4, 1, 2, channel=None), _ev(5, 2, 2)]
+    snap = features.feature_snapshot(features.staging(_events(spark, rows)), "2024-02-15").collect()
+    assert {r.customer_id: r.preferred_channel for r in snap} == {1: None, 2: "web"}
+
+
+def test_decision_gates_the_aligned_frame(spark):
+    """A column that is gone and a category that is no longer known show up as missing values."""
+    day = dt.date(2024, 1, 2)
+    train = spark.range(200).select((F.col("id") % 40).cast("double").alias("a"), (F.col("id") % 50 / 10).alias("b"), F.when(F.col("id") % 2 == 0, "x").otherwise("y").alias("c"))
+    levels = spark.createDataFrame([("c", "x", 0), ("c", "y", 1)], "column_name string, level string, code int")
+    base = drift.freeze(drift.build_baseline(train, ["a", "b"], ["c"]))
+    live = spark.range(200).select(F.col("id").alias("customer_id"), F.lit(day).alias("snapshot_date"), (F.col("id") % 40).cast("double").alias("a"), F.when(F.col("id") % 10 == 0, "x").otherwise("new").alias("c"))
+    row = jobs.run_drift_check(live, base, "m1", ["a", "b"], ["c"], levels=levels, persistence_min_breaches=1).first()
+    found = {(f["check"], f["feature"]) for f in row.data_quality.failures}
+    assert {("missing_columns", "b"), ("null_rate", "b"), ("null_rate", "c"), ("collapsed_column", "c")} <= found
+    assert row.run_drift_detected and not row.drift_detected and row.retrain_suppressed_by_data_quality
+    assert set(row.feature_psi) == {"a", "b", "c"} and row.feature_psi["a"] < 1e-9 and row.current_sample_size == 200
+    assert set(row.persistent_breaches) == set(row.breached_features) == set(row.breach_counts) and row.breach_counts["c"] == 1
+    assert row.feature_null_rates["b"].current == 1.0 and row.threshold == drift.PSI_THRESHOLD
+    nothing = jobs.run_drift_check(live, base, None, ["a"], []).first()
+    assert nothing.drift_detected is False and nothing.reason == "no_champion_registered"
+
+
+def test_score_baseline_is_kept_unless_its_edges_agree(spark):
+    scores = spark.range(500).select((F.col("id") / 500).alias(drift.SCORE_FEATURE))
+    old = drift.freeze(drift.build_baseline(scores, [drift.SCORE_FEATURE], []))
+    again, same = jobs.rebuild_score_baseline(old, scores)
+    kept, moved = jobs.rebuild_score_baseline(old, scores.select((F.col(drift.SCORE_FEATURE) / 2).alias(drift.SCORE_FEATURE)))
+    assert same and not moved
+    assert sorted(map(str, again.collect())) == sorted(map(str, kept.collect()))
+
+
 def test_fused_and_joined_snapshots_agree(spark):
     rows = [_ev(i, 1 + i % 28, i % 4, "success" if i % 3 else "failed", channel=["web", "email"][i % 2]) for i in range(40)]
     stg = features.staging(_events(spark, rows))
