@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators import ml, splits
-from riskloom.plans.evaluate import rejoin_scores, scratch_dir
+from riskloom.plans.evaluate import evaluate_stage, rejoin_scores, scratch_dir
 from riskloom.sources import derived as D
 from riskloom.sources import scans
 from riskloom.sources.event_log import activity_log
@@ -97,3 +97,21 @@ def test_training_with_an_empty_column_and_many_levels(spark):
     rows = spark.range(400).select(F.col("id").alias("customer_id"), (F.col("id") % 3 == 0).alias("churned"), F.lit(None).cast("double").alias("a"), (F.col("id") % 7).cast("double").alias("b"), (F.col("id") % 90).cast("string").alias("c"))
     model = ml.fit(rows, ["a", "b"], ["c"], {"maxIter": 2, "maxDepth": 2})
     assert ml.score(model, rows, ["a", "b"]).count() == 400
+
+
+def test_evaluate_stage_with_fixed_scores(spark):
+    rows = spark.createDataFrame([(1, True), (2, False), (3, True), (4, False)], "customer_id long, churned boolean")
+
+    def scorer(scores):
+        table = F.create_map(*[F.lit(x) for pair in scores.items() for x in pair])
+
+        def run(instances, out):
+            p = F.struct(F.element_at(table, F.col("customer_id")).alias("churn_probability"), F.lit(True).alias("churn_prediction"))
+            instances.select(F.col("customer_id").cast("string").alias("customer_id"), p.alias("prediction")).write.json(out)
+
+        return run
+
+    good, bad = scorer({1: 0.9, 2: 0.1, 3: 0.8, 4: 0.2}), scorer({1: 0.1, 2: 0.9, 3: 0.2, 4: 0.8})
+    r = evaluate_stage(rows, good, 0.5, bad, 0.5, glob="part-*").first()
+    assert r.promote and r.challenger_pr_auc == 1.0 and r.challenger_f1 == 1.0 and r.champion_f1 == 0.0
+    assert evaluate_stage(rows, bad, 0.5, good, 0.5, glob="part-*").first().promote is False
