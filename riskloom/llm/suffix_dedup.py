@@ -32,7 +32,7 @@ from riskloom.llm.base import BitFilter, arrow_map, batch_of, cut, key_hash
 LENGTH = 200
 CORE = 64
 CLASS = 20_000
-SORTED_BYTES = 1 << 20  # suffixes sorted at once, whole classes
+SORTED_BYTES = 1 << 19  # suffixes sorted at once, whole classes
 RUN = 1 << 18
 NO_ID = -(1 << 63)
 
@@ -240,12 +240,16 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, core: int = CORE, lar
     return whole.unionByName(sorted_).unionByName(hot)
 
 
-def _cut_out(keep_bytes: bool, listed: bool):
+def _cut_out(keep_bytes: bool, listed: bool, skip=None):
+    """Map function over (doc_id, text, spans) or, for texts without spans, over (doc_id, text, id hash),
+    where rows in the filter ``skip`` are left out."""
     fields = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
     more = [("spans", pa.list_(pa.list_(pa.int64()))), ("kept", pa.binary())]
     schema = pa.schema(fields + more * keep_bytes)
 
     def rewrite(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        if not listed:
+            batch = batch.filter(pa.array(~skip.value.contains(batch.column(2).to_numpy())))
         for a, b, buf, offs in T.runs(batch.column(1)):
             raw = buf.tobytes()
             tk = T.signed(T.span_hash(T.prefix_hash(buf), offs[:-1], offs[1:])) if listed else None
@@ -285,9 +289,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, core: int = CORE, larg
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("did", F.coalesce("doc_id", F.lit(NO_ID)))
     ranges = repeated_ranges(docs, length, core, largest)
     spans = cut(ranges.groupBy("did").agg(F.collect_list(F.struct("tk", "lo", "hi")).alias("spans")), "spans")  # a document's own ranges
-    touched = BitFilter.of(spans.select(key_hash("did").alias("h")), "h").flag(spark, key_hash("did"))
-    plain, kind = _cut_out(keep_bytes, False)
+    touched = BitFilter.of(spans.select(key_hash("did").alias("h")), "h")
+    plain, kind = _cut_out(keep_bytes, False, touched.shared(spark))
     marked, _ = _cut_out(keep_bytes, True)
-    rest = arrow_map(docs.where(~touched).select("doc_id", "text"), plain, kind)
-    some = docs.where(touched).join(spans, "did", "left").select("doc_id", "text", "spans")
+    rest = arrow_map(docs.select("doc_id", "text", key_hash("did")), plain, kind)
+    some = docs.where(touched.flag(spark, key_hash("did"))).join(spans, "did", "left").select("doc_id", "text", "spans")
     return rest.unionByName(arrow_map(some, marked, kind))

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 _RADIX = np.uint64(0x9E3779B97F4A7C15 | 1)
 _RNG = np.random.default_rng(20240215)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -32,7 +32,7 @@ _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """radix**i and radix**-i modulo 2**64 for i < n (kept between calls, grown on demand)."""
     if len(_powers[0]) < n:
-        n = max(n, 2 * CHUNK)
+        n = -(-n // (1 << 17)) << 17  # small steps: every worker holds its own
         inverse = np.uint64(pow(int(_RADIX), -1, 1 << 64))
         for k, base in enumerate((_RADIX, inverse)):
             steps = np.full(n, base, np.uint64)
