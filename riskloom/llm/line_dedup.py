@@ -1,6 +1,6 @@
 """Line de-duplication over levelled sorted runs of line keys.
 
-A run is a table of (key, documents that hold the line, largest doc_id), sorted by key.  Each
+A run is a table of (key, documents that hold the line, largest doc_id), dealt out and sorted by key.  Each
 new batch of documents is summed up by key and merge-anti-joined with the runs: lines never
 seen before are added as the batch's own run of level 0, the counts of lines that repeat go to
 a side table, so runs are disjoint.  When a level has ``FANOUT`` runs they are compacted to
@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 from riskloom.llm import text as T
 from riskloom.llm.base import BitFilter, arrow_map, batch_of, cut, key_hash, scratch
 
-FANOUT = 4
+FANOUT = 3
 MIN_CODE_POINTS = 20
 MIN_DOCUMENTS = 3
-BATCHES = 6
+BATCHES = 4
 _SECOND = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -97,15 +97,16 @@ class LineRuns:
         self.levels: list[list[str]] = []
         self.repeats: list[str] = []
 
-    def _write(self, run: DataFrame, level: int) -> None:
-        path = scratch(self.spark, f"run-l{level}")
-        run.repartitionByRange("a", "b").sortWithinPartitions("a", "b").write.parquet(path)
+    def _keep(self, path: str, level: int) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
         self.levels[level].append(path)
 
     def _read(self, paths: list[str]) -> DataFrame:
-        return self.spark.read.schema(self.SCHEMA).parquet(*paths) if paths else self.spark.createDataFrame([], self.SCHEMA)
+        """All rows of some runs; a batch without fresh or without known keys left no folder."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        there = [p for p in paths if jvm.org.apache.hadoop.fs.Path(p).getFileSystem(conf).exists(jvm.org.apache.hadoop.fs.Path(p))]
+        return self.spark.read.schema(self.SCHEMA).parquet(*there) if there else self.spark.createDataFrame([], self.SCHEMA)
 
     def runs(self) -> DataFrame:
         """Every key ever added, once, with what its first batch held."""
@@ -119,19 +120,19 @@ class LineRuns:
     def add(self, lines: DataFrame) -> None:
         """Add a batch (doc_id, a, b): keys that no run holds become a run, the counts of the
         others go to the repeats."""
-        batch = cut(lines.groupBy("a", "b").agg(F.count("*").alias("n"), F.max("doc_id").alias("top")), "batch")
-        if self.levels:
-            known = self.runs().select("a", "b")
-            path = scratch(self.spark, "repeats")
-            batch.join(known, ["a", "b"], "left_semi").write.parquet(path)
-            self.repeats.append(path)
-            batch = batch.join(known, ["a", "b"], "left_anti")
-        self._write(batch, 0)
+        batch = lines.groupBy("a", "b").agg(F.count("*").alias("n"), F.max("doc_id").alias("top"))
+        known = self.runs().select("a", "b", F.lit(True).alias("known"))
+        told = batch.join(known, ["a", "b"], "left").withColumn("known", F.coalesce("known", F.lit(False)))
+        path = scratch(self.spark, "batch")
+        told.sortWithinPartitions("known", "a", "b").write.partitionBy("known").parquet(path)
+        self._keep(f"{path}/known=false", 0)
+        self.repeats.append(f"{path}/known=true")
         level = 0
         while len(self.levels[level]) >= self.fanout:  # runs are disjoint: compacting only sorts them into one
-            merged = self._read(self.levels[level])
+            merged = scratch(self.spark, f"run-l{level + 1}")
+            self._read(self.levels[level]).repartition("a", "b").sortWithinPartitions("a", "b").write.parquet(merged)
             self.levels[level] = []
-            self._write(merged, level + 1)
+            self._keep(merged, level + 1)
             level += 1
 
 
