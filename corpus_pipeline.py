@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,10 @@ from riskloom.llm import decontaminate, exact_dedup, near_dedup, packing, toxici
 from riskloom.llm.base import cut, table, without
 from riskloom.llm.queries import see_package
 
+# The pipeline's near-duplicate stage: similarity in per cent, and 28 bands of four, which lose a pair of
+# that similarity with probability (1 - 0.8**4)**28, 4e-7.
+NEAR = {"per_cent": 80, "permutations": 56, "rows": 4}
+
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model rejects go."""
@@ -23,10 +29,11 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return without(docs, exact_dedup.exact_duplicates(docs).where(~F.col("kept")))
 
 
-def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component stays: the one with the smallest doc_id."""
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, **how: int) -> DataFrame:
+    """One document of each near-duplicate component stays: the one with the smallest doc_id.
+    ``how`` goes to the operator, whose own similarity is 85 per cent; the pipeline's is ``NEAR``."""
     see_package(spark)
-    return without(docs, near_dedup.near_duplicates(docs).where(~F.col("kept")))
+    return without(docs, near_dedup.near_duplicates(docs, **how).where(~F.col("kept")))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +52,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 STAGES = [
     ("toxicity", toxicity_stage),
     ("exact_dedup", exact_dedup_stage),
-    ("near_dedup", near_dedup_stage),
+    ("near_dedup", partial(near_dedup_stage, **NEAR)),
     ("decontamination", decontamination_stage),
     ("packing", packing_stage),
 ]

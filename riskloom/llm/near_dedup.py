@@ -217,16 +217,17 @@ def links(docs: DataFrame, sig: DataFrame, k: int = SHINGLE_WORDS, per_cent: int
     return classes.select("cid", "rep"), parted.mapInArrow(compare, "u binary, v binary")
 
 
-def near_duplicates(docs: DataFrame, k: int = SHINGLE_WORDS, per_cent: int = SIMILARITY) -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = SHINGLE_WORDS, per_cent: int = SIMILARITY, permutations: int = PERMUTATIONS, rows: int = BAND_ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text, ...).
 
     ``component_id`` is the smallest doc_id reachable over links of Jaccard similarity
-    ``per_cent`` or more between sets of ``k``-word shingles.  Null, empty and wordless texts have no
+    ``per_cent`` or more between sets of ``k``-word shingles; a lower one needs more bands or
+    fewer ``rows`` in each (see above).  Null, empty and wordless texts have no
     shingles and stand alone; texts of fewer than ``k`` words are one shingle.  Repeated rows
     (same doc_id) are answered alike, each by its own text.  A row without doc_id is linked
     with nothing of its own but gets the component of its set.  An empty table gives no rows.
     """
-    sig = cut(signatures(docs, k), "signatures")
+    sig = cut(signatures(docs, k, permutations, rows), "signatures")
     classes, found = links(docs, sig, k, per_cent)
     roots = connected_components(cut(found, "links"))
     named = classes.join(roots, classes.cid == roots.node, "left").select("cid", "rep", F.coalesce("root", "cid").alias("root"))

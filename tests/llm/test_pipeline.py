@@ -1,11 +1,14 @@
 """The pipeline's stages against plain versions, and its registration."""
 
+import random
+
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
 from riskloom.llm import queries
 
+from .conftest import prose
 from .test_operators import near_components
 
 
@@ -39,3 +42,18 @@ def test_whole_pipeline_runs(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     assert 0 < out.select("doc_id").distinct().count() <= docs.count()
     assert out.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 2048").count() == 0
+
+
+def test_pipelines_near_stage_links_from_similarity_80(spark, tmp_path):
+    rng = random.Random(80)
+    made = []
+    for n in range(45, 70):  # one word of n changed: similarity (n - 9) / (n + 1), 0.80 at 49 words
+        words = prose(rng, n).split(" ")
+        made.append((n, " ".join(words)))
+        words[n // 2] = "changed"
+        made.append((1000 + n, " ".join(words)))
+    some = spark.createDataFrame(made, "doc_id long, text string")
+    near = dict(corpus_pipeline.STAGES)["near_dedup"](spark, some, str(tmp_path))
+    want = sorted(d for d, _, _, kept in near_components(made, 80) if kept)
+    assert want == [*range(45, 70), *range(1045, 1049)]
+    assert sorted(r.doc_id for r in near.collect()) == want
