@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import decontaminate, exact_dedup, near_dedup, packing, toxicity
-from riskloom.llm.base import cut, table, without
+from riskloom.llm.base import all_but_first, cut, numbered, table, without
 from riskloom.llm.queries import see_package
 
 # The pipeline's near-duplicate stage: similarity in per cent, and 28 bands of four, which lose a pair of
@@ -16,31 +16,50 @@ from riskloom.llm.queries import see_package
 NEAR = {"per_cent": 80, "permutations": 56, "rows": 4}
 
 
+def by_row(docs: DataFrame, row: str) -> DataFrame:
+    """(doc_id, text) for the operators, with the row's number as doc_id: they answer each row for
+    itself, also where a doc_id is null, repeated or on two texts."""
+    return docs.select(F.col(row).alias("doc_id"), "text")
+
+
+def drop(docs: DataFrame, dropped: DataFrame, row: str) -> DataFrame:
+    return without(docs, dropped, key=row).drop(row)
+
+
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model rejects go."""
     see_package(spark)
-    judged = toxicity.toxicity(docs, table(spark, sf_dir, "labels"))
-    return without(docs, judged.where("predicted = 1"))
+    docs, row = numbered(docs)
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))  # labels name documents by doc_id
+    judged = toxicity.judged(by_row(docs, row), model)
+    return drop(docs, judged.where("predicted = 1").select(F.col("doc_id").alias(row)), row)
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the smallest doc_id stays."""
+    """Of equal texts one row stays: the first of those with the smallest doc_id."""
     see_package(spark)
-    return without(docs, exact_dedup.exact_duplicates(docs).where(~F.col("kept")))
+    docs, row = numbered(docs)
+    equal = exact_dedup.exact_duplicates(by_row(docs, row)).where("group_size > 1")
+    groups = equal.select(F.col("doc_id").alias(row), F.col("keep_id").alias("group"))
+    return drop(docs, all_but_first(docs, groups, row), row)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, **how: int) -> DataFrame:
-    """One document of each near-duplicate component stays: the one with the smallest doc_id.
+    """One row of each near-duplicate component stays: the first of those with the smallest doc_id.
     ``how`` goes to the operator, whose own similarity is 85 per cent; the pipeline's is ``NEAR``."""
     see_package(spark)
-    return without(docs, near_dedup.near_duplicates(docs, **how).where(~F.col("kept")))
+    docs, row = numbered(docs)
+    near = near_dedup.near_duplicates(by_row(docs, row), **how)
+    groups = near.select(F.col("doc_id").alias(row), F.col("component_id").alias("group"))
+    return drop(docs, all_but_first(docs, groups, row), row)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
     see_package(spark)
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return without(docs, found.where("contaminated"))
+    docs, row = numbered(docs)
+    found = decontaminate.contamination(by_row(docs, row), table(spark, sf_dir, "benchmark"))
+    return drop(docs, found.where("contaminated").select(F.col("doc_id").alias(row)), row)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,8 +83,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole ``documents`` table.
 
-    Every stage passes on the rows it keeps with all their columns, so extra columns stay; rows
-    with a null doc_id are never dropped, as a decision can't name them.  An empty table gives no rows.
+    Every stage numbers its rows, decides on each row by that number, and passes on the rows it
+    keeps with all their columns, so extra columns stay and rows with a null or repeated doc_id are
+    judged by their own text.  An empty table gives no rows.
     """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:

@@ -111,13 +111,32 @@ def key_hash(c: Column | str) -> Column:
     return F.xxhash64(F.col(c) if isinstance(c, str) else c)
 
 
-def without(docs: DataFrame, dropped: DataFrame, bits: int = 23) -> DataFrame:
-    """The rows of ``docs`` whose doc_id isn't in ``dropped`` (a column doc_id); rows with a
-    null doc_id stay.  Texts of documents that the bit filter clears are never shuffled."""
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """(``docs`` with a number of its own for each row, that column's name).  It is written with
+    the rows, so that every reader sees the same number; the name clashes with no column."""
+    name = "row_number"
+    while name in {c.lower() for c in docs.columns}:
+        name += "_"
+    return cut(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+
+
+def without(docs: DataFrame, dropped: DataFrame, bits: int = 23, key: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose ``key`` isn't in ``dropped`` (a column of that name); rows with a
+    null key stay.  Texts of documents that the bit filter clears are never shuffled."""
     spark = docs.sparkSession
-    ids = cut(dropped.select("doc_id").where("doc_id is not null").distinct(), "dropped")
-    maybe = BitFilter.of(ids.select(key_hash("doc_id").alias("h")), "h", bits).flag(spark, key_hash("doc_id"))
-    return docs.where(~maybe).unionByName(docs.where(maybe).join(ids, "doc_id", "left_anti").select(docs.columns))
+    ids = cut(dropped.select(key).where(F.col(key).isNotNull()).distinct(), "dropped")
+    maybe = BitFilter.of(ids.select(key_hash(key).alias("h")), "h", bits).flag(spark, key_hash(key))
+    return docs.where(~maybe).unionByName(docs.where(maybe).join(ids, key, "left_anti").select(docs.columns))
+
+
+def all_but_first(rows: DataFrame, groups: DataFrame, row: str) -> DataFrame:
+    """The numbers ``row`` that go when one row of each group stays: the one with the smallest doc_id
+    (null last), of several the one with the smallest number.  ``rows`` holds doc_id and ``row``,
+    ``groups`` gives ``row`` its ``group``; rows outside of ``groups`` stay."""
+    place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").cast("long").alias("id"), F.col(row).alias("at"))
+    members = cut(rows.select(row, place.alias("place")).join(groups.select(row, "group"), row), "members")
+    first = members.groupBy("group").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1")
+    return members.join(first.select("group", "first"), "group").where(F.col(row) != F.col("first.at")).select(row)
 
 
 def batch_of(schema: pa.Schema, *columns: pa.Array | np.ndarray) -> pa.RecordBatch:

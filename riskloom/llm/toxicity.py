@@ -240,9 +240,12 @@ def toxicity(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, ordinary: i
     every score is the share of toxic ones (0 without any).  A null doc_id isn't held out; repeated rows
     are scored alike; empty tables give no rows.
     """
-    spark = docs.sparkSession
-    m = train(docs, labels, toxic, ordinary)
-    sent = spark.sparkContext.broadcast(m)
+    return judged(docs, train(docs, labels, toxic, ordinary))
+
+
+def judged(docs: DataFrame, m: Model) -> DataFrame:
+    """The rows of ``toxicity`` by a trained model; it doesn't look at doc_id but for held_out."""
+    sent = docs.sparkSession.sparkContext.broadcast(m)
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32()), ("llr_per_byte", pa.float64())])
 
     def judge(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

@@ -57,3 +57,34 @@ def test_pipelines_near_stage_links_from_similarity_80(spark, tmp_path):
     want = sorted(d for d, _, _, kept in near_components(made, 80) if kept)
     assert want == [*range(45, 70), *range(1045, 1049)]
     assert sorted(r.doc_id for r in near.collect()) == want
+
+
+def test_stages_decide_by_row(spark, tmp_path):
+    """Repeated rows of one doc_id, rows without doc_id, and a doc_id on two texts."""
+    rng = random.Random(7)
+    a, b, c, leak = (prose(rng, 60) for _ in range(4))
+    near = " ".join([*b.split(" ")[:-1], "changed"])
+    sf = str(tmp_path)
+    spark.createDataFrame([("1", leak)], "item_id string, text string").write.parquet(f"{sf}/benchmark.parquet")
+    made = [(1, a), (1, a), (1, a), (None, a), (2, a), (2, b), (2, b), (None, near), (3, c), (None, None), (4, leak), (4, c + " x"), (None, leak)]
+    some = spark.createDataFrame(made, "doc_id long, text string").withColumn("row_number", F.lit("clash")).repartition(3)
+    stage = dict(corpus_pipeline.STAGES)
+
+    def run(name):
+        out = stage[name](spark, some, sf)
+        assert out.columns == some.columns
+        return sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+
+    assert run("exact_dedup") == sorted([(1, a), (2, b), (None, near), (3, c), (None, None), (4, leak), (4, c + " x")], key=str)
+    assert run("near_dedup") == sorted([(1, a), (2, b), (3, c), (None, None), (4, leak)], key=str)
+    assert run("decontamination") == sorted([r for r in made if r[1] != leak], key=str)
+
+
+def test_toxicity_stage_decides_by_row(spark, tmp_path, monkeypatch):
+    sf = str(tmp_path)
+    spark.createDataFrame([], "doc_id long, toxic int").write.parquet(f"{sf}/labels.parquet")
+    made = [(1, "bad"), (1, "good"), (None, "bad"), (None, "good"), (2, "good")]
+    monkeypatch.setattr(corpus_pipeline.toxicity, "train", lambda docs, labels: None)
+    monkeypatch.setattr(corpus_pipeline.toxicity, "judged", lambda docs, m: docs.select("doc_id", (F.col("text") == "bad").cast("int").alias("predicted")))
+    out = corpus_pipeline.toxicity_stage(spark, spark.createDataFrame(made, "doc_id long, text string"), sf)
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted([(1, "good"), (None, "good"), (2, "good")], key=str)
