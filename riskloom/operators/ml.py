@@ -38,7 +38,7 @@ SEARCH_SPACE = {
     "maxIter": (50, 500, False, int),
 }
 TRIALS, FOLDS = 100, 5
-DEFAULT_PARAMS = {"maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 1.0, "featureSubsetStrategy": 1.0, "maxIter": 30}
+DEFAULT_PARAMS = {"maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 1.0, "featureSubsetStrategy": 1.0, "maxIter": 100}
 
 
 def with_class_weight(df: DataFrame, label: str = LABEL) -> DataFrame:

@@ -15,9 +15,6 @@ from riskloom.sources import scans
 
 NUM = D.FEATURE_NUMERIC
 CAT = D.FEATURE_CATEGORICAL
-# The sweep's registered run: how many candidates, and the share of the declared space they are drawn from.
-SWEEP_TRIALS = 2
-SWEEP_SPACE = dict(ml.SEARCH_SPACE, maxDepth=(3, 5, False, int), maxIter=(50, 60, False, int))
 
 
 def _split(spark, sf_dir):
@@ -44,10 +41,10 @@ def ml3_threshold(spark, sf_dir):
 
 @register("ml4_candidate_sweep")
 def ml4_sweep(spark, sf_dir):
-    """Seeded candidates × folds, fit concurrently; mean/std PR-AUC per candidate.  ``ml.TRIALS`` and
-    ``ml.SEARCH_SPACE`` are the operator's defaults; this run names its own."""
+    """All ``ml.TRIALS`` seeded candidates of ``ml.SEARCH_SPACE`` × folds, fit concurrently; mean/std
+    PR-AUC per candidate."""
     folded = D.stored(splits.stratified_folds(_train(spark, sf_dir), k=ml.FOLDS))
-    return ml.sweep(folded, NUM, CAT, ml.FOLDS, ml.draw_candidates(SWEEP_TRIALS, seed=42, space=SWEEP_SPACE))
+    return ml.sweep(folded, NUM, CAT, ml.FOLDS, ml.draw_candidates())
 
 
 def _model_scorer(model, features, threshold):

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators import ml, splits
+from riskloom.plans import queries_ml
 from riskloom.plans.evaluate import evaluate_stage, rejoin_scores, scratch_dir
 from riskloom.sources import derived as D
 from riskloom.sources import scans
@@ -74,6 +75,23 @@ def test_candidates_respect_bounds():
             assert lo <= c[name] <= hi and isinstance(c[name], typ)
 
 
+def test_defaults_respect_bounds():
+    assert set(ml.DEFAULT_PARAMS) == set(ml.SEARCH_SPACE)
+    for name, (lo, hi, _, _) in ml.SEARCH_SPACE.items():
+        assert lo <= ml.DEFAULT_PARAMS[name] <= hi, name
+
+
+def test_registered_sweep_tries_the_whole_declared_space(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(queries_ml, "_train", lambda spark, sf_dir: spark.range(10).select(F.col("id").alias("customer_id"), (F.col("id") % 2 == 0).alias("churned")))
+    monkeypatch.setattr(queries_ml.splits, "stratified_folds", lambda df, k: df)
+    monkeypatch.setattr(ml, "sweep", lambda folded, numeric, categorical, k, candidates: asked.append((k, candidates)))
+    queries_ml.ml4_sweep(spark, "")
+    assert asked == [(5, ml.draw_candidates(100, space=ml.SEARCH_SPACE))]
+    depths, trees = ([c[x] for c in asked[0][1]] for x in ("maxDepth", "maxIter"))
+    assert min(depths) == 3 and max(depths) == 10 and min(trees) < 100 and max(trees) > 450
+
+
 def test_rejoin_raises_on_missing_ids(spark):
     d = scratch_dir(spark, "t")
     spark.createDataFrame([("1", 0.5)], "customer_id string, churn_probability double").write.json(d)
