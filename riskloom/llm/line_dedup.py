@@ -20,10 +20,11 @@ from pyspark.sql import functions as F
 from riskloom.llm import text as T
 from riskloom.llm.base import BitFilter, arrow_map, batch_of, cut, key_hash, scratch
 
-FANOUT = 3
+FANOUT = 4
 MIN_CODE_POINTS = 20
 MIN_DOCUMENTS = 3
-BATCHES = 4
+BATCHES = 6  # at least
+BATCH_DOCUMENTS = 1 << 20  # at most, on average: the number of batches grows with the corpus
 _SECOND = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -174,18 +175,21 @@ def drop_lines(docs: DataFrame, drops: DataFrame | None, keep_text: bool, least:
     return arrow_map((docs if drops is None else docs.join(drops, "doc_id", "left")).select(*cols), rewrite, kind)
 
 
-def dedup_lines(docs: DataFrame, least: int = MIN_CODE_POINTS, documents: int = MIN_DOCUMENTS, batches: int = BATCHES, keep_text: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, least: int = MIN_CODE_POINTS, documents: int = MIN_DOCUMENTS, batches: int | None = None, keep_text: bool = False) -> DataFrame:
     """(doc_id, n_lines, n_dropped, kept_sha256[, text]) for every row of ``docs``.
 
     A line's key is the line stripped of white space at both ends, A-Z lower-cased.  A key of
     ``least`` code points or more that stands in ``documents`` rows or more loses all its lines except
     those of the largest doc_id that holds it.  Documents arrive in ``batches`` batches (by a hash
-    of the doc_id, the stand-in for arrival order; the result doesn't depend on it).  Null and empty texts are
+    of the doc_id, the stand-in for arrival order; the result doesn't depend on it); by default as many as
+    ``BATCH_DOCUMENTS`` asks for, and ``BATCHES`` at least.  Null and empty texts are
     one empty line.  Each row counts as a document: a repeated doc_id counts again, and all rows
     with the largest doc_id keep the line; a null doc_id is never the largest and is never rewritten.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    if batches is None:
+        batches = max(BATCHES, -(-docs.count() // BATCH_DOCUMENTS))
     lines = cut(lines_of(docs, least).withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int")), "lines")
     store = LineRuns(spark)
     for part in range(batches):

@@ -229,6 +229,22 @@ def lines_dropped(rows):
     return out
 
 
+@pytest.mark.parametrize(("size", "want"), [(1 << 20, 6), (10, 8)])
+def test_line_batches_grow_with_the_documents(docs, monkeypatch, size, want):
+    added, runs = [], []
+    add = line_dedup.LineRuns.add
+
+    def watched(self, lines):
+        add(self, lines)
+        added.append(lines)
+        runs.append([len(level) for level in self.levels])
+
+    monkeypatch.setattr(line_dedup.LineRuns, "add", watched)
+    monkeypatch.setattr(line_dedup, "BATCH_DOCUMENTS", size)
+    line_dedup.dedup_lines(docs)
+    assert len(added) == want and runs[:4] == [[1], [2], [3], [0, 1]]
+
+
 @pytest.mark.parametrize("batches", [1, 7])
 def test_line_dedup(docs, rows, none, batches):
     want = lines_dropped(rows)
