@@ -10,7 +10,21 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontaminate, exact_dedup, license_scan, line_dedup, lm_score, near_dedup, packing, suffix_dedup, toxicity, url_filter
+from riskloom.llm import (
+    decontaminate,
+    exact_dedup,
+    hard_negatives,
+    harmonic_packing,
+    license_scan,
+    line_dedup,
+    lm_score,
+    near_dedup,
+    packing,
+    spelling,
+    suffix_dedup,
+    toxicity,
+    url_filter,
+)
 from riskloom.llm.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -219,3 +233,63 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = license_scan.scan_licenses(table(spark, sf_dir, "documents"))
     names = F.array_join(F.array_sort(F.array_distinct(F.col("found.license"))), ",")
     return rows.select("doc_id", "n_words", F.size("found").cast("long").alias("n_found"), names.alias("licenses"), F.coalesce(F.array_max("found.coverage"), F.lit(0.0)).alias("best_coverage"))
+
+
+@query(
+    "op11_hard_negatives",
+    """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS HUGEINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+         CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i])) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, id, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, p.id AS positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, p.id ORDER BY s.score DESC, s.id) AS INT) AS rank,
+       s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+QUALIFY rank <= 10""",
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+@query(
+    "op12_spelling_variants",
+    r"""
+WITH RECURSIVE bits AS (SELECT b, b AS c, 0 AS k FROM range(256) AS r(b) UNION ALL
+  SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+crc AS (SELECT list(c ORDER BY b) AS t FROM bits WHERE k = 8),
+hexes AS (SELECT map(list(printf('%02X', b)), list(b)) AS m FROM range(256) AS r(b)),
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents),
+kinds AS (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY ALL),
+coded AS (SELECT run, n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS x FROM kinds),
+bytes AS (SELECT run, n, list_transform(range(length(x) // 2), lambda i: m[x[2 * i + 1 : 2 * i + 2]]) AS y FROM coded, hexes),
+summed AS (SELECT run, n, xor(list_reduce(list_prepend(4294967295, y), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) AS h FROM bytes, crc),
+made AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word, n FROM summed),
+w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM made WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+less AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS v FROM (SELECT word, n, unnest(range(length(word))) AS i FROM w)),
+near AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM less a JOIN less b ON a.v = b.v AND a.i = b.i AND a.word <> b.word
+  UNION SELECT less.word, w.word, w.n FROM less JOIN w ON w.word = less.v
+  UNION SELECT w.word, less.word, less.n FROM less JOIN w ON w.word = less.v),
+best AS (SELECT word, count(*) AS n_near, max(near_n) AS m FROM near GROUP BY word),
+formed AS (SELECT best.word, min(near.near) AS form, m FROM best JOIN near ON near.word = best.word AND near.near_n = m JOIN w ON w.word = best.word WHERE m >= 10 * w.n GROUP BY best.word, m),
+chain AS (SELECT word, word AS root, 0 AS k FROM w UNION ALL SELECT chain.word, formed.form, k + 1 FROM chain JOIN formed ON formed.word = chain.root),
+root AS (SELECT word, arg_max(root, k) AS root FROM chain GROUP BY word)
+SELECT w.word, formed.form, root.root, w.n, coalesce(n_near, 0) AS n_near, formed.m AS form_n
+FROM w JOIN root USING (word) LEFT JOIN best USING (word) LEFT JOIN formed USING (word)""",
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query("op13_harmonic_packing")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return harmonic_packing.pack(table(spark, sf_dir, "documents"), harmonic_packing.default_tokenizer())
