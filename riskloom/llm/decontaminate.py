@@ -29,7 +29,7 @@ SHINGLE = 5
 
 def _words(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]:
     start, end, doc = T.word_spans(buf, offs, T.ALNUM)
-    return start, end, T.bounds(doc, len(offs) - 1), T.span_hash(T.prefix_hash(buf, lower=True), start, end)
+    return start, end, T.bounds(doc, len(offs) - 1), T.span_hashes(buf, start, end, lower=True)
 
 
 def _text(raw: bytes, start: np.ndarray, end: np.ndarray) -> str:

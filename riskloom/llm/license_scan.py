@@ -117,7 +117,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, cove
         buf = np.frombuffer(body.encode(), np.uint8)
         start, end, _ = T.word_spans(buf, np.array([0, len(buf)]), T.ALNUM)
         if len(start):
-            wanted.append((name, T.signed(T.span_hash(T.prefix_hash(buf, lower=True), start, end))))
+            wanted.append((name, T.signed(T.span_hashes(buf, start, end, lower=True))))
     hit = pa.struct([("license", pa.string()), ("from", pa.int64()), ("to", pa.int64()), ("coverage", pa.float64())])
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("found", pa.list_(hit))])
 
@@ -125,7 +125,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, cove
         for a, b, buf, offs in T.runs(batch.column(1)):
             start, end, doc = T.word_spans(buf, offs, T.ALNUM)
             lim = T.bounds(doc, b - a)
-            h = T.signed(T.span_hash(T.prefix_hash(buf, lower=True), start, end))
+            h = T.signed(T.span_hashes(buf, start, end, lower=True))
             found: list[list[dict]] = [[] for _ in range(b - a)]
             vocabulary = np.unique(np.concatenate([t for _, t in wanted])) if wanted else np.zeros(0, np.int64)
             at = np.searchsorted(vocabulary, h)

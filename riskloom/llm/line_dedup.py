@@ -57,9 +57,8 @@ def line_keys(buf: np.ndarray, left: np.ndarray, right: np.ndarray, least: int)
     points = np.zeros(len(buf) + 1, np.int64)
     np.cumsum((buf & 0xC0) != 0x80, out=points[1:])
     at = np.flatnonzero(points[right] - points[left] >= least)
-    sums = T.prefix_hash(buf, lower=True)
-    one = T.span_hash(sums, left[at], right[at])
-    # a second, independent polynomial: each byte weighted by a hash of its value and neighbour
+    one = T.span_hashes(buf, left[at], right[at], lower=True)
+    # a second, independent one: each byte weighted by a hash of its value and neighbour
     near = T.LOWER[buf]
     pair = near.astype(np.uint64) << np.uint64(8)
     pair[1:] |= near[:-1]
@@ -67,6 +66,7 @@ def line_keys(buf: np.ndarray, left: np.ndarray, right: np.ndarray, least: int)
     other = np.zeros(len(buf) + 1, np.uint64)
     np.cumsum(T.mix(pair * _SECOND) * fwd[: len(buf)], out=other[1:])
     two = T.mix((other[right[at]] - other[left[at] + 1]) * back[left[at]] ^ near[left[at]].astype(np.uint64)) if len(at) else one
+    two = T.long_hashes(two, buf, left[at], right[at], lower=True, seed=2)
     return at, one, two
 
 

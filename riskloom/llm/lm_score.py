@@ -45,7 +45,7 @@ def held_out(doc_id: str = "doc_id"):
 def words(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word hashes, their endings, the documents' word offsets)."""
     start, end, doc = T.word_spans(buf, offs, T.NOT_SPACE)
-    h = T.signed(T.span_hash(T.prefix_hash(buf, lower=True), start, end))
+    h = T.signed(T.span_hashes(buf, start, end, lower=True))
     low = T.LOWER[buf] if len(buf) else buf
     last = low[end - 1].astype(np.int64)
     before = np.where(end - start > 1, low[np.maximum(end - 2, 0)], 0).astype(np.int64)

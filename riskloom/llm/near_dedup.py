@@ -43,7 +43,7 @@ def shingle_sets(buf: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray,
     """(distinct shingle hashes of all documents of a run, sorted in each; counts by document)."""
     n = len(offs) - 1
     start, end, doc = T.word_spans(buf, offs, T.NOT_SPACE)
-    words = T.span_hash(T.prefix_hash(buf, lower=True), start, end)
+    words = T.span_hashes(buf, start, end, lower=True)
     lim = T.bounds(doc, n)
     sh, at = T.shingles(words, lim, k)
     owner = doc[at]

@@ -64,7 +64,7 @@ def owned_windows(buf: np.ndarray, offs: np.ndarray, sums: np.ndarray, length: i
     first = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (at[1:] != at[:-1] + 1)]))
     last = np.append(first[1:], len(at)) - 1
     s1, s2, p = at[first], at[last], owner[first]
-    own = T.span_hash(sums, s1, s2 + length) ^ T.mix((p - s1 + 1).astype(np.uint64))
+    own = T.long_hashes(T.span_hash(sums, s1, s2 + length), buf, s1, s2 + length) ^ T.mix((p - s1 + 1).astype(np.uint64))
     return T.span_hash(sums, p, p + core), own, np.searchsorted(offs, s1, "right") - 1, s1, s2 - s1 + 1
 
 
@@ -160,7 +160,7 @@ def _scan(length: int, core: int, sent, what: str):
             if not len(ok):
                 continue
             c, f, doc, at, n = c[ok], f[ok], doc[ok], at[ok], n[ok]
-            tk = T.signed(T.span_hash(sums, offs[:-1], offs[1:]))
+            tk = T.signed(T.long_hashes(T.span_hash(sums, offs[:-1], offs[1:]), buf, offs[:-1], offs[1:]))
             cols = [T.signed(c), T.signed(f), batch.column(0).slice(a, b - a).take(pa.array(doc)), tk[doc], (at - offs[doc]).astype(np.int32), n.astype(np.int32)]
             if what == "bytes":
                 raw = buf.tobytes()
@@ -252,7 +252,7 @@ def _cut_out(keep_bytes: bool, listed: bool, skip=None):
             batch = batch.filter(pa.array(~skip.value.contains(batch.column(2).to_numpy())))
         for a, b, buf, offs in T.runs(batch.column(1)):
             raw = buf.tobytes()
-            tk = T.signed(T.span_hash(T.prefix_hash(buf), offs[:-1], offs[1:])) if listed else None
+            tk = T.signed(T.span_hashes(buf, offs[:-1], offs[1:])) if listed else None
             out = []
             marked = batch.column(2).slice(a, b - a) if listed else [None] * (b - a)
             for i, cell in enumerate(marked):

@@ -11,8 +11,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from xxhash import xxh3_64_intdigest
 
 CHUNK = 1 << 20
+LONG_SPAN = 128
 _RADIX = np.uint64(0x9E3779B97F4A7C15 | 1)
 _RNG = np.random.default_rng(20240215)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -85,11 +87,29 @@ def prefix_hash(buf: np.ndarray, lower: bool = False) -> np.ndarray:
 
 
 def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of the bytes [start, end), the same wherever they stand; the length is hashed in."""
+    """Hash of the bytes [start, end), the same wherever they stand; the length is hashed in.
+
+    For short spans alone: modulo 2**64 the two strings got by doubling "a" -> "ab", "b" -> "ba" agree from
+    some 512 bytes on, whatever the radix.  ``span_hashes`` takes spans of any length."""
     _, back = powers(len(sums))
     return mix((sums[end] - sums[start]) * back[start] + (end - start).astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
 
 
+def long_hashes(h: np.ndarray, buf: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = False, seed: int = 1) -> np.ndarray:
+    """``h`` with spans of over ``LONG_SPAN`` bytes hashed anew over their bytes, eight at a time."""
+    at = np.flatnonzero(end - start > LONG_SPAN)
+    if len(at):
+        raw = memoryview(np.ascontiguousarray(LOWER[buf] if lower else buf))
+        h = h.copy()
+        h[at] = np.fromiter((xxh3_64_intdigest(raw[a:b], seed) for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)), np.uint64, len(at))
+    return h
+
+
+def span_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = False) -> np.ndarray:
+    """64-bit hashes of spans of any length."""
+    return long_hashes(span_hash(prefix_hash(buf, lower), start, end), buf, start, end, lower)
+
+
 def word_spans(buf: np.ndarray, offs: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and the document (row of the run) of every maximal word; words stay in one text."""
     n = len(buf)
