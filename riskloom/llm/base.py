@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import atexit
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -14,35 +14,75 @@ from pyspark.sql import functions as F
 
 from riskloom.session import ensure_checkpoint_dir
 
-_made: set[str] = set()
+_made: set[str] = set()  # tables that go when the session's Python ends
+_scopes: list[list[str]] = []  # tables that go when the innermost scope ends
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir`` (shared by driver and executors); it goes
-    when the session's Python ends."""
+    """A new folder below ``spark.checkpoint.dir`` (shared by driver and executors); it goes at
+    the end of the innermost ``Scope``, or without one when the session's Python ends."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+        return path
     if not _made:
         atexit.register(_clean, spark)
     _made.add(path)
     return path
 
 
+def free(spark: SparkSession, paths: Iterable[str]) -> None:
+    jvm = spark._jvm
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def _clean(spark: SparkSession) -> None:
     try:
-        jvm = spark._jvm
-        for path in _made:
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        free(spark, _made)
     except Exception:  # noqa: BLE001  the gateway may already be gone
         pass
 
 
+class Scope:
+    """Lifetime of the intermediate tables made inside a ``with`` block: they are deleted at its end.
+    What is to outlive it is written by ``keep`` and belongs to the scope around it."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+
+    def __enter__(self) -> Scope:
+        _scopes.append([])
+        return self
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        inner = _scopes.pop()
+        try:
+            return cut(df, name)
+        finally:
+            _scopes.append(inner)
+
+    def __exit__(self, *_) -> None:
+        free(self.spark, _scopes.pop())
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: computed once, no lineage behind it,
     and a lost executor costs a re-read only."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def drop_table(df: DataFrame) -> None:
+    """Delete a table that ``cut`` or ``keep`` returned, before its time."""
+    free(df.sparkSession, [df._scratch])
+    for paths in [_made, *_scopes]:
+        if df._scratch in paths:
+            paths.remove(df._scratch)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -112,19 +152,36 @@ def key_hash(c: Column | str) -> Column:
 
 
 def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """(``docs`` with a number of its own for each row, that column's name).  It is written with
-    the rows, so that every reader sees the same number; the name clashes with no column."""
+    """(``docs`` with a number of its own for each row, that column's name, which clashes with no column).
+
+    Every reader sees the same number.  Rows straight from files have one already: a hash of the file's
+    path, tested to be another one for each file, and the row's place in it.  Other rows are written
+    with a number."""
     name = "row_number"
     while name in {c.lower() for c in docs.columns}:
         name += "_"
+    if docs._jdf.queryExecution().analyzed().nodeName() == "LogicalRelation" and "_metadata" not in docs.columns:
+        files = docs.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.row_index").alias("at")).groupBy("path").agg(F.max("at").alias("at"))
+        hashes = [F.shiftrightunsigned(F.xxhash64("path", F.lit(seed)), 33) for seed in range(8)]
+        kinds = files.agg(F.count("*").alias("n"), F.max("at").alias("most"), *[F.count_distinct(h).alias(f"h{seed}") for seed, h in enumerate(hashes)]).first()
+        for seed in range(len(hashes)):
+            if kinds[f"h{seed}"] == kinds["n"] and (kinds["most"] or 0) < 1 << 32:
+                file = F.shiftrightunsigned(F.xxhash64(F.col("_metadata.file_path"), F.lit(seed)), 33)
+                return docs.withColumn(name, F.shiftleft(file, 32) + F.col("_metadata.row_index")), name
     return cut(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
 
 
+SENT_IDS = 1 << 20  # at most so many numbers are broadcast
+
+
 def without(docs: DataFrame, dropped: DataFrame, bits: int = 23, key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose ``key`` isn't in ``dropped`` (a column of that name); rows with a
-    null key stay.  Texts of documents that the bit filter clears are never shuffled."""
+    """The rows of ``docs`` whose ``key`` isn't in ``dropped`` (a table with a column of that name); rows with a
+    null key stay.  Up to ``SENT_IDS`` different keys are broadcast, counted before.  Of more, a bit filter
+    finds the rows that may be meant, and only those are shuffled for the exact answer."""
     spark = docs.sparkSession
-    ids = cut(dropped.select(key).where(F.col(key).isNotNull()).distinct(), "dropped")
+    ids = dropped.select(key).where(F.col(key).isNotNull()).distinct()
+    if ids.limit(SENT_IDS + 1).count() <= SENT_IDS:
+        return docs.join(F.broadcast(ids), key, "left_anti").select(docs.columns)
     maybe = BitFilter.of(ids.select(key_hash(key).alias("h")), "h", bits).flag(spark, key_hash(key))
     return docs.where(~maybe).unionByName(docs.where(maybe).join(ids, key, "left_anti").select(docs.columns))
 

@@ -15,7 +15,7 @@ from .test_operators import near_components
 def test_stages_and_queries_are_registered():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "decontamination", "packing"]
     names = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {x.split("_")[0] for x in queries.QUERIES} and set(queries.QUERIES) | {"pipeline"} <= set(names)
+    assert {f"op{n}" for n in range(1, 14)} == {x.split("_")[0] for x in queries.QUERIES} and set(queries.QUERIES) | {"pipeline"} <= set(names)
     assert set(queries.ORACLE_SQL) <= set(entry.oracle_sql())
 
 
