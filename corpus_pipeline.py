@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import decontaminate, exact_dedup, near_dedup, packing, toxicity
-from riskloom.llm.base import all_but_first, cut, numbered, table, without
+from riskloom.llm.base import Scope, all_but_first, drop_table, numbered, table, without
 from riskloom.llm.queries import see_package
 
 # The pipeline's near-duplicate stage: similarity in per cent, and 28 bands of four, which lose a pair of
@@ -22,50 +22,60 @@ def by_row(docs: DataFrame, row: str) -> DataFrame:
     return docs.select(F.col(row).alias("doc_id"), "text")
 
 
-def drop(docs: DataFrame, dropped: DataFrame, row: str) -> DataFrame:
-    return without(docs, dropped, key=row).drop(row)
-
-
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model rejects go."""
+    """Documents that the toxicity model rejects go.  Null and empty texts are scored like any other; without
+    labels nothing is learnt and no document is rejected; an empty table stays empty."""
     see_package(spark)
     docs, row = numbered(docs)
-    model = toxicity.train(docs, table(spark, sf_dir, "labels"))  # labels name documents by doc_id
-    judged = toxicity.judged(by_row(docs, row), model)
-    return drop(docs, judged.where("predicted = 1").select(F.col("doc_id").alias(row)), row)
+    with Scope(spark) as tables:
+        model = toxicity.train(docs, table(spark, sf_dir, "labels"))  # labels name documents by doc_id
+        judged = toxicity.judged(by_row(docs, row), model)
+        gone = tables.keep(judged.where("predicted = 1").select(F.col("doc_id").alias(row)), "toxic")
+    return without(docs, gone, key=row).drop(row)
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts one row stays: the first of those with the smallest doc_id."""
+    """Of equal texts one row stays: one with the smallest doc_id (null last).  Null texts equal empty
+    ones; an empty table stays empty."""
     see_package(spark)
     docs, row = numbered(docs)
-    equal = exact_dedup.exact_duplicates(by_row(docs, row)).where("group_size > 1")
-    groups = equal.select(F.col("doc_id").alias(row), F.col("keep_id").alias("group"))
-    return drop(docs, all_but_first(docs, groups, row), row)
+    with Scope(spark) as tables:
+        equal = exact_dedup.exact_duplicates(by_row(docs, row)).where("group_size > 1")
+        groups = equal.select(F.col("doc_id").alias(row), F.col("keep_id").alias("group"))
+        gone = tables.keep(all_but_first(docs, groups, row), "copies")
+    return without(docs, gone, key=row).drop(row)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, **how: int) -> DataFrame:
-    """One row of each near-duplicate component stays: the first of those with the smallest doc_id.
+    """One row of each near-duplicate component stays: one with the smallest doc_id (null last).  Null, empty and
+    wordless texts stand alone; an empty table stays empty.
     ``how`` goes to the operator, whose own similarity is 85 per cent; the pipeline's is ``NEAR``."""
     see_package(spark)
     docs, row = numbered(docs)
-    near = near_dedup.near_duplicates(by_row(docs, row), **how)
-    groups = near.select(F.col("doc_id").alias(row), F.col("component_id").alias("group"))
-    return drop(docs, all_but_first(docs, groups, row), row)
+    with Scope(spark) as tables:
+        near = near_dedup.near_duplicates(by_row(docs, row), **how)
+        groups = near.select(F.col("doc_id").alias(row), F.col("component_id").alias("group"))
+        gone = tables.keep(all_but_first(docs, groups, row), "near")
+    return without(docs, gone, key=row).drop(row)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a window of a benchmark item go."""
+    """Documents that hold a window of a benchmark item go.  Null and empty texts hold none; an empty table or
+    benchmark takes nothing away."""
     see_package(spark)
     docs, row = numbered(docs)
-    found = decontaminate.contamination(by_row(docs, row), table(spark, sf_dir, "benchmark"))
-    return drop(docs, found.where("contaminated").select(F.col("doc_id").alias(row)), row)
+    with Scope(spark) as tables:
+        found = decontaminate.contamination(by_row(docs, row), table(spark, sf_dir, "benchmark"))
+        gone = tables.keep(found.where("contaminated").select(F.col("doc_id").alias(row)), "contaminated")
+    return without(docs, gone, key=row).drop(row)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every remaining document and its place in a sequence."""
+    """Every piece of every remaining document and its place in a sequence.  Null and empty texts are their end
+    token alone, repeated rows are packed each for itself; an empty table gives no rows."""
     see_package(spark)
-    return packing.pack(packing.tokens(docs, packing.default_tokenizer()))
+    with Scope(spark) as tables:
+        return tables.keep(packing.pack(packing.tokens(docs, packing.default_tokenizer())), "packed")
 
 
 STAGES = [
@@ -85,9 +95,14 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Every stage numbers its rows, decides on each row by that number, and passes on the rows it
     keeps with all their columns, so extra columns stay and rows with a null or repeated doc_id are
-    judged by their own text.  An empty table gives no rows.
+    judged by their own text.  An empty table gives no rows.  A stage's intermediate tables go when its
+    output is written, and its input when it is the stage's before.
     """
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = cut(stage(spark, docs, sf_dir), name)
+        with Scope(spark) as tables:
+            docs = tables.keep(stage(spark, docs, sf_dir), name)
+        if last is not None:
+            drop_table(last)
+        last = docs
     return docs
