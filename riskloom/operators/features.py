@@ -106,7 +106,11 @@ def staging(log: DataFrame) -> DataFrame:
     Four columns are coalesced (amount 0.0, attempts 0, contacts 0, churned FALSE);
     ``engagement_score`` and ``member_since_days`` stay NULL on purpose.
     """
-    deduped = dedupe_newest(without_anomalies(log).drop("anomaly_injected"))
+    return fill_selected(dedupe_newest(without_anomalies(log).drop("anomaly_injected")))
+
+
+def fill_selected(deduped: DataFrame) -> DataFrame:
+    """PRJ1: the staged columns, four of them filled."""
     return deduped.select(
         "event_id",
         "event_timestamp",
@@ -180,11 +184,11 @@ def default_computed_at(as_of) -> dt.datetime:
     return dt.datetime(d.year, d.month, d.day, 2, 0, 0)
 
 
-def _stamp(df: DataFrame, as_of, computed_at) -> DataFrame:
+def stamp(df: DataFrame, as_of, computed_at) -> DataFrame:
     computed_at = computed_at or default_computed_at(as_of)
     # Text literal: a wall-clock UTC stamp that does not depend on the session time zone.
-    stamp = F.lit(computed_at.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
-    return df.withColumn("feature_computed_at", stamp).withColumn(
+    built = F.lit(computed_at.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    return df.withColumn("feature_computed_at", built).withColumn(
         "snapshot_date", as_date(as_of)
     )
 
@@ -209,7 +213,7 @@ def feature_snapshot(
         )
     else:
         out = latest_state(stg).join(customer_aggregates(stg, as_of), "customer_id", "left")
-    return _stamp(out, as_of, computed_at).select(*FEATURE_COLUMNS)
+    return stamp(out, as_of, computed_at).select(*FEATURE_COLUMNS)
 
 
 def feature_history(stg: DataFrame, snapshot_dates: list) -> DataFrame:

@@ -5,10 +5,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from riskloom.functions.scalar import as_date
 from riskloom.operators import features as feat
 from riskloom.plans import oracle as O
+from riskloom.plans.evaluate import scratch_dir
+from riskloom.plans.incremental import FeatureStates
 from riskloom.plans.registry import register
-from riskloom.sources import derived
+from riskloom.plans.versions import VersionedTable
+from riskloom.sources import derived, scans
 from riskloom.sources.event_log import activity_log
 
 FEATURE_DOUBLES = (
@@ -99,6 +103,36 @@ def feature_history(spark, sf_dir):
     return derived.history(spark, sf_dir)
 
 
+@register(
+    "feature_history_incremental",
+    O.with_ctes(O.ADAPTER, O.STAGING, O.history_cte(), body="SELECT * FROM feature_history"),
+    doubles=FEATURE_DOUBLES,
+)
+def feature_history_incremental(spark, sf_dir):
+    """The same days from mergeable states: the log arrives in three batches whose rows lie on any day."""
+    states = FeatureStates(spark, scratch_dir(spark, "feature-states"))
+    log = activity_log(spark, sf_dir)
+    for arrival in range(3):
+        states.add(log.where(F.pmod(F.xxhash64("event_id", "event_timestamp"), F.lit(3)) == arrival))
+    parts = [states.snapshot(d, replay=True) for d in derived.HISTORY_DATES]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register(
+    "src2_snk1_published_newest",
+    O.with_ctes(O.ADAPTER, O.STAGING, O.history_cte(), body="SELECT * FROM feature_history WHERE snapshot_date = (SELECT MAX(snapshot_date) FROM feature_history)"),
+    doubles=FEATURE_DOUBLES,
+)
+def src2_published_newest(spark, sf_dir):
+    """Daily partitions are published one after the other, the first again with a correction; the newest is found in the
+    manifest and read by its literal date."""
+    table = VersionedTable(spark, scratch_dir(spark, "published"))
+    history = derived.stored(derived.history(spark, sf_dir))
+    for day in [*derived.HISTORY_DATES, derived.HISTORY_DATES[0]]:
+        table.replace(history.where(F.col("snapshot_date") == as_date(day)))
+    return scans.latest_partition(table)[1]
+
+
 @register(
     "src3_prj2_current_features",
     O.with_ctes(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from riskloom.plans import oracle as O
 from riskloom.plans.evaluate import scratch_dir
 from riskloom.plans.registry import register
+from riskloom.plans.versions import VersionedTable
 from riskloom.sources import derived as D
 from riskloom.sources.event_log import activity_log
 from riskloom.streaming import landing
@@ -50,5 +51,5 @@ def st3_upsert(spark, sf_dir):
         rows.write.mode("append").partitionBy("snapshot_date").parquet(src)
         stream = spark.readStream.schema(p.schema).option("maxFilesPerTrigger", FILES_PER_TRIGGER).parquet(src)
         landing.upsert_scores(stream, target, ckpt)
-    out = spark.read.parquet(target)
+    out = VersionedTable(spark, target).read()
     return out.withColumn("predicted_at", F.when(F.col("customer_id") % 2 == 0, F.col("predicted_at") - F.expr("INTERVAL 1 HOUR")).otherwise(F.col("predicted_at")))

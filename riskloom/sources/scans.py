@@ -3,21 +3,43 @@
 from __future__ import annotations
 
 import datetime as dt
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.scalar import as_date
-
-
-def latest_partition(table: DataFrame, date_col: str = "snapshot_date") -> tuple[dt.date | None, DataFrame]:
-    """SRC2 / AG10: resolve MAX(date) (one scalar to the driver), then filter on the literal
-    so partitioned parquet is pruned statically.  Returns (date, rows of that date)."""
-    newest = table.agg(F.max(date_col)).first()[0]
+from riskloom.plans.versions import DEFAULT_PARTITION, VersionedTable
+
+
+def partition_values(spark: SparkSession, path: str, column: str = "snapshot_date") -> list[str]:
+    """Values of a partitioned folder, from its list of subfolders: no file is read."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = (s.getPath().getName() for s in p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p))
+    values = [unquote(n.removeprefix(f"{column}=")) for n in names if n.startswith(f"{column}=")]
+    return sorted(v for v in values if v != DEFAULT_PARTITION)
+
+
+def latest_partition(table: DataFrame | VersionedTable | str, date_col: str = "snapshot_date", spark: SparkSession | None = None) -> tuple[dt.date | None, DataFrame]:
+    """SRC2 / AG10: (newest date, rows of that date), the filter being a literal, so that a partitioned table is pruned
+    statically.  The date comes from the table's partition list (a published table's manifest, or the
+    subfolders of a path), without a scan; only a bare DataFrame has to be asked for its maximum."""
+    if isinstance(table, VersionedTable):
+        m = table.manifest()
+        newest, rows = (table.newest(m.version), table.read(m.version)) if m else (None, None)
+        if rows is None:
+            raise FileNotFoundError(f"no published version: {table.path}")
+    elif isinstance(table, str):
+        spark = spark or SparkSession.getActiveSession()
+        values = partition_values(spark, table, date_col)
+        newest, rows = max(values, default=None), spark.read.parquet(table)
+    else:
+        newest, rows = table.agg(F.max(date_col)).first()[0], table
     if newest is None:
-        return None, table.limit(0)
-    return newest, table.where(F.col(date_col) == F.lit(newest))
+        return None, rows.limit(0)
+    newest = dt.date.fromisoformat(newest) if isinstance(newest, str) else newest
+    return newest, rows.where(F.col(date_col) == F.lit(newest))
 
 
 def read_split(split_table: DataFrame, snapshot_date, split: str) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from riskloom.operators.features import dedupe_newest
 from riskloom.plans import sinks
-from riskloom.session import materialize
+from riskloom.plans.versions import VersionedTable
 
 CDC_SCHEMA = T.StructType(
     [
@@ -75,32 +75,30 @@ def land_events(events: DataFrame, sink_dir: str, checkpoint_dir: str):
     return q
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """Is there a table at ``path``?  Only a missing folder says no."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
+def merge_scores(table: VersionedTable, keys: list[str], batch: DataFrame, batch_id: int, writer: str) -> int | None:
+    """One micro-batch, source wins, published with its number as one version: a batch that ``writer`` has published
+    before is skipped, one that died before has left nothing, so each counts exactly once.
+    Only the touched partitions are read and written, none of them in place."""
+    if table.done(writer) >= batch_id:
+        return None
+    rest = [c for c in batch.columns if c not in keys and c != "predicted_at"]
+    newest = F.max(F.struct("predicted_at", *rest)).alias("_n")  # a key's newest score counts
+    batch = batch.groupBy(*keys).agg(newest).select(*keys, "_n.*").select(batch.columns)
+    if not table.exists():
+        return table.replace(batch, batch=(writer, batch_id))
+    dates = [str(r[0]) for r in batch.select("snapshot_date").distinct().collect()]  # touched partitions (few)
+    merged = sinks.merge_by_key(table.read(values=dates).select(*batch.columns), batch, keys)
+    return table.replace(merged, batch=(writer, batch_id))
 
 
 def upsert_scores(scores: DataFrame, target_dir: str, checkpoint_dir: str, keys: list[str] = ("customer_id", "snapshot_date")):
-    """ST3: per micro-batch, source-wins merge into the date-partitioned prediction table
-    (SNK3), overwriting only the touched partitions.  The merged rows are materialised
-    before the overwrite (a job never overwrites what it is still reading), and replaying
-    a batch gives the same table (idempotent)."""
-    keys = list(keys)
+    """ST3: per micro-batch, source-wins merge into the date-partitioned prediction table (SNK3).  The
+    table's manifest holds the last batch of each query (by the id its checkpoint keeps across restarts)."""
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rest = [c for c in batch.columns if c not in keys and c != "predicted_at"]
-        newest = F.max(F.struct("predicted_at", *rest)).alias("_n")  # a key's newest score counts
-        batch = batch.groupBy(*keys).agg(newest).select(*keys, "_n.*").select(batch.columns)
-        dates = [r[0] for r in batch.select("snapshot_date").distinct().collect()]  # touched partitions (few)
-        if table_exists(spark, target_dir):  # any error while reading it is raised
-            current = spark.read.parquet(target_dir).where(F.col("snapshot_date").isin(dates))
-            merged = sinks.merge_by_key(current.select(*batch.columns), batch, keys)
-        else:
-            merged = batch
-        merged = materialize(merged)
-        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_date").parquet(target_dir)
+        writer = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or checkpoint_dir
+        merge_scores(VersionedTable(spark, target_dir), list(keys), batch, batch_id, writer)
 
     q = scores.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start()
     q.awaitTermination()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from riskloom.operators import ml, splits
 from riskloom.plans import queries_ml
 from riskloom.plans.evaluate import evaluate_stage, rejoin_scores, scratch_dir
+from riskloom.plans.versions import VersionedTable
 from riskloom.sources import derived as D
 from riskloom.sources import scans
 from riskloom.sources.event_log import activity_log
@@ -27,17 +28,74 @@ def test_landing_loses_no_event(spark, files):
     assert landing.landed_events(spark, f"{base}/table").count() == raw.select("event_id").distinct().count()
 
 
+SCORES = "customer_id long, snapshot_date date, churn_probability double, predicted_at timestamp_ntz"
+
+
+def scores(spark, *rows):
+    day = dt.date(2024, 1, 1)
+    return spark.createDataFrame([(c, day + dt.timedelta(d), p, dt.datetime(2024, 1, 1, h)) for c, d, p, h in rows], SCORES)
+
+
+def held(table):
+    return sorted((r.customer_id, r.snapshot_date.day, r.churn_probability) for r in table.read().collect())
+
+
 def test_upsert_raises_when_the_table_cannot_be_read(spark):
     base = scratch_dir(spark, "upsert-test")
-    rows = spark.createDataFrame([(1, dt.date(2024, 1, 1), 0.5, dt.datetime(2024, 1, 1, 3))], "customer_id long, snapshot_date date, churn_probability double, predicted_at timestamp_ntz")
+    rows = scores(spark, (1, 0, 0.5, 3))
     rows.write.parquet(f"{base}/in")
-    os.makedirs(f"{base}/target/snapshot_date=2024-01-01")
-    with open(f"{base}/target/snapshot_date=2024-01-01/part-0.parquet", "w") as f:
-        f.write("not parquet")
+    table = VersionedTable(spark, f"{base}/target")
+    table.replace(rows)
+    name = table.manifest().parts["2024-01-01"][0]
+    for f in os.listdir(f"{base}/target/data/{name}"):
+        if f.startswith("part-"):
+            with open(f"{base}/target/data/{name}/{f}", "w") as out:
+                out.write("not parquet")
     stream = spark.readStream.schema(rows.schema).parquet(f"{base}/in")
     with pytest.raises(Exception):  # noqa: B017
         landing.upsert_scores(stream, f"{base}/target", f"{base}/ckpt")
-    assert os.listdir(f"{base}/target/snapshot_date=2024-01-01") == ["part-0.parquet"]
+    assert table.versions() == [1]
+
+
+def test_a_batch_counts_once(spark):
+    table = VersionedTable(spark, scratch_dir(spark, "upsert-test"))
+    keys = ["customer_id", "snapshot_date"]
+    first, second = scores(spark, (1, 0, 0.5, 3), (2, 0, 0.4, 3), (2, 1, 0.3, 3)), scores(spark, (2, 0, 0.9, 4))
+    assert landing.merge_scores(table, keys, first, 0, "q") == 1
+    assert landing.merge_scores(table, keys, second, 1, "q") == 2
+    want = [(1, 1, 0.5), (2, 1, 0.9), (2, 2, 0.3)]
+    assert held(table) == want
+    assert landing.merge_scores(table, keys, first, 0, "q") is None  # replayed: it would bring 0.4 back
+    assert landing.merge_scores(table, keys, second, 1, "q") is None
+    assert held(table) == want and table.versions() == [1, 2]
+    assert landing.merge_scores(table, keys, scores(spark, (1, 0, 0.1, 5)), 0, "another") == 3  # its own numbers
+
+
+def test_a_batch_that_dies_before_its_commit_leaves_nothing(spark, monkeypatch):
+    table = VersionedTable(spark, scratch_dir(spark, "upsert-test"))
+    keys = ["customer_id", "snapshot_date"]
+    landing.merge_scores(table, keys, scores(spark, (1, 0, 0.5, 3)), 0, "q")
+    late = scores(spark, (1, 0, 0.7, 4), (3, 0, 0.6, 4))
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(VersionedTable, "_publish", dies)
+    with pytest.raises(RuntimeError):
+        landing.merge_scores(table, keys, late, 1, "q")
+    monkeypatch.undo()
+    assert held(table) == [(1, 1, 0.5)] and table.done("q") == 0
+    landing.merge_scores(table, keys, late, 1, "q")
+    assert held(table) == [(1, 1, 0.7), (3, 1, 0.6)]
+
+
+def test_a_restarted_stream_does_not_repeat_its_batches(spark):
+    base = scratch_dir(spark, "upsert-test")
+    for hour, rows in ((3, [(1, 0, 0.5, 3)]), (4, [(1, 0, 0.7, 4), (2, 1, 0.2, 4)])):
+        scores(spark, *rows).write.mode("append").parquet(f"{base}/in")
+        landing.upsert_scores(spark.readStream.schema(scores(spark, (1, 0, 0.5, 3)).schema).parquet(f"{base}/in"), f"{base}/target", f"{base}/ckpt")
+    table = VersionedTable(spark, f"{base}/target")
+    assert held(table) == [(1, 1, 0.7), (2, 2, 0.2)] and list(table.manifest().batches.values()) == [1]
 
 
 def test_stratified_folds_are_balanced(spark):
