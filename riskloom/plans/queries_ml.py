@@ -1,12 +1,12 @@
-"""Registered queries: training and scoring on pyspark.ml (ML2–ML6) and the evaluate
-stage (EV10).  Rows-only checks: boosted-tree scores are not expected to equal another
+"""Registered queries: training and scoring on pyspark.ml (ML2, ML3, ML5, ML6) and the evaluate
+stage (EV10); the candidate sweep (ML4) is an operator without a query.  Rows-only checks: boosted-tree scores are not expected to equal another
 library's (SURVEY H5); unit tests check the properties instead."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskloom.operators import ml, preprocess, splits
+from riskloom.operators import metrics, ml, preprocess, splits
 from riskloom.plans import sinks
 from riskloom.plans.evaluate import evaluate_stage
 from riskloom.plans.registry import register
@@ -39,12 +39,11 @@ def ml3_threshold(spark, sf_dir):
     return ml.cv_threshold(folded, NUM, CAT, ml.FOLDS)
 
 
-@register("ml4_candidate_sweep")
-def ml4_sweep(spark, sf_dir):
-    """All ``ml.TRIALS`` seeded candidates of ``ml.SEARCH_SPACE`` × folds, fit concurrently; mean/std
-    PR-AUC per candidate."""
-    folded = D.stored(splits.stratified_folds(_train(spark, sf_dir), k=ml.FOLDS))
-    return ml.sweep(folded, NUM, CAT, ml.FOLDS, ml.draw_candidates())
+def _threshold(model, train) -> float:
+    """The stored decision threshold (EV5): chosen on scores of training rows, never of those to be judged."""
+    scored = ml.score(model, train, NUM, keep=["customer_id"]).join(train.select("customer_id", F.col("churned").cast("int").alias("y")), "customer_id")
+    curve = metrics.pr_curve(metrics.cumulative(scored.select(F.lit("m").alias("model"), "y", F.col("churn_probability").alias("score"))))
+    return metrics.select_threshold(curve).first().threshold
 
 
 def _model_scorer(model, features, threshold):
@@ -52,10 +51,11 @@ def _model_scorer(model, features, threshold):
         # JSON exports stringify numbers and omit NULL keys (T11): re-align first (PRJ6).
         aligned = preprocess.align_to_features(instances, features, categorical=CAT, keep=["customer_id"])
         s = ml.score(model, aligned, NUM)
-        s.select(
+        rows = s.select(
             F.col("customer_id").cast("string").alias("customer_id"),
             F.struct(F.col("churn_probability"), (F.col("churn_probability") >= threshold).alias("churn_prediction")).alias("prediction"),
-        ).write.mode("overwrite").json(out)
+        )
+        sinks.prediction_shards(rows, out)
 
     return run
 
@@ -69,21 +69,22 @@ def ev10_evaluate(spark, sf_dir):
     feats = NUM + CAT
     challenger = ml.fit(train, NUM, CAT)
     champion = ml.fit(train, NUM, CAT, {"maxDepth": 3})
-    return evaluate_stage(
-        test, _model_scorer(challenger, feats, 0.5), 0.5, _model_scorer(champion, feats, 0.5), 0.5, glob="part-*"
-    )
+    mine, theirs = _threshold(challenger, train), _threshold(champion, train)
+    return evaluate_stage(test, _model_scorer(challenger, feats, mine), mine, _model_scorer(champion, feats, theirs), theirs)
 
 
 @register("ml5_prj8_batch_scoring")
 def ml5_batch_scoring(spark, sf_dir):
     """Score the newest snapshot with the stored threshold and upsert into the log."""
-    model = ml.fit(_train(spark, sf_dir), NUM, CAT)
+    train = _train(spark, sf_dir)
+    model = ml.fit(train, NUM, CAT)
+    threshold = _threshold(model, train)
     snap = D.snapshot(spark, sf_dir)
     if not preprocess.has_any_feature(snap, NUM + CAT):  # PRJ8
         raise ValueError("input shares no column with the feature set")
     current = preprocess.align_to_features(snap, NUM + CAT, categorical=CAT, keep=["customer_id", "snapshot_date"])
     scored = ml.score(model, current, NUM, keep=["customer_id", "snapshot_date"])
-    new = sinks.stamp_scores(scored.withColumn("churn_prediction", F.col("churn_probability") >= 0.5), "churn-v3", "2024-02-15 03:00:00")
+    new = D.stored(sinks.stamp_scores(scored.withColumn("churn_prediction", F.col("churn_probability") >= threshold), "churn-v3", "2024-02-15 03:00:00"))
     sinks.require_rows(new)
     log = D.predictions(spark, sf_dir)
     return sinks.merge_by_key(log, new.select(*log.columns), ["customer_id", "snapshot_date"])

@@ -104,6 +104,21 @@ def batch_source_export(split_rows: DataFrame, path: str, drop: list[str] = NOT_
     split_rows.drop(*drop).write.mode("overwrite").json(path)
 
 
+def prediction_shards(rows: DataFrame, path: str, prefix: str = "prediction.results-") -> None:
+    """Scored records as the batch predictor leaves them: JSON lines in ``<prefix><i>-of-<n>`` files.  The
+    files get their names when all are written."""
+    staged = f"{path.rstrip('/')}/_staged"
+    rows.write.mode("overwrite").json(staged)
+    spark = rows.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    fs = at(staged).getFileSystem(spark._jsc.hadoopConfiguration())
+    files = sorted(s.getPath().getName() for s in fs.listStatus(at(staged)) if s.getPath().getName().startswith("part-"))
+    for i, name in enumerate(files):
+        if not fs.rename(at(f"{staged}/{name}"), at(f"{path.rstrip('/')}/{prefix}{i:05d}-of-{len(files):05d}")):
+            raise OSError(f"could not name {staged}/{name}")
+    fs.delete(at(staged), True)
+
+
 def retention(table: DataFrame, as_of, days: int, date_col: str = "snapshot_date") -> DataFrame:
     """SNK10: rows of partitions still inside the retention window (date ≥ as_of − days)."""
     return table.where(F.col(date_col) >= F.date_sub(as_date(as_of), days))

@@ -41,7 +41,7 @@ def con():
 ROWS_ONLY = {
     "dr9_noise_floor", "dr10_dr11_lineitem_verdict", "dr10_feature_verdict", "dr13_score_drift_verdict",
     "dr16_dq12_drift_decision", "snk12_dr15_rebuild_baseline", "ml2_ml6_feature_importance", "ml3_oof_threshold",
-    "ml4_candidate_sweep", "ml5_prj8_batch_scoring", "ev10_evaluate_stage", "prj13_raw_payload",
+    "ml5_prj8_batch_scoring", "ev10_evaluate_stage", "prj13_raw_payload",
 }
 
 
@@ -66,5 +66,5 @@ def test_entry_smoke(spark):
 
 
 def test_rows_only_queries_run(spark):
-    for name in sorted(ROWS_ONLY - {"ml3_oof_threshold", "ml4_candidate_sweep", "ev10_evaluate_stage", "ml5_prj8_batch_scoring", "ml2_ml6_feature_importance"}):
+    for name in sorted(ROWS_ONLY - {"ml3_oof_threshold", "ev10_evaluate_stage", "ml5_prj8_batch_scoring", "ml2_ml6_feature_importance"}):
         assert registry.queries()[name](spark, SF_SMALL).count() > 0, name

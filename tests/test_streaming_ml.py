@@ -3,11 +3,12 @@
 import datetime as dt
 import os
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators import ml, splits
-from riskloom.plans import queries_ml
+from riskloom.plans import sinks
 from riskloom.plans.evaluate import evaluate_stage, rejoin_scores, scratch_dir
 from riskloom.plans.versions import VersionedTable
 from riskloom.sources import derived as D
@@ -139,17 +140,47 @@ def test_defaults_respect_bounds():
         assert lo <= ml.DEFAULT_PARAMS[name] <= hi, name
 
 
-def test_registered_sweep_tries_the_whole_declared_space(spark, monkeypatch):
-    asked = []
-    monkeypatch.setattr(queries_ml, "_train", lambda spark, sf_dir: spark.range(10).select(F.col("id").alias("customer_id"), (F.col("id") % 2 == 0).alias("churned")))
-    monkeypatch.setattr(queries_ml.splits, "stratified_folds", lambda df, k: df)
-    monkeypatch.setattr(ml, "sweep", lambda folded, numeric, categorical, k, candidates: asked.append((k, candidates)))
-    queries_ml.ml4_sweep(spark, "")
-    assert asked == [(5, ml.draw_candidates(100, space=ml.SEARCH_SPACE))]
-    depths, trees = ([c[x] for c in asked[0][1]] for x in ("maxDepth", "maxIter"))
+def test_candidates_cover_the_whole_declared_space():
+    drawn = ml.draw_candidates()
+    assert len(drawn) == ml.TRIALS == 100
+    depths, trees = ([c[x] for c in drawn] for x in ("maxDepth", "maxIter"))
     assert min(depths) == 3 and max(depths) == 10 and min(trees) < 100 and max(trees) > 450
 
 
+def test_sweep_equals_a_plain_loop_over_fitted_models(spark):
+    """Real models on a small table: per candidate the mean and spread of the folds' average precision."""
+    rng = np.random.default_rng(1)
+    x = rng.normal(0, 1, 90)
+    made = [(i, float(x[i]), "ab"[i % 2], bool(x[i] + rng.normal() > 0), i % 2) for i in range(90)]
+    folded = spark.createDataFrame(made, "customer_id long, x double, c string, churned boolean, fold int")
+    candidates = [{"maxDepth": 2, "maxIter": 3}, {"maxDepth": 3, "maxIter": 2}]
+    got = {r.candidate: r for r in ml.sweep(folded, ["x"], ["c"], 2, candidates).collect()}
+    means = []
+    for i, params in enumerate(candidates):
+        precision = []
+        for j in range(2):
+            model = ml.fit(folded.where(F.col("fold") != j), ["x"], ["c"], params)
+            rest = folded.where(F.col("fold") == j)
+            scored = {r.customer_id: r.churn_probability for r in ml.score(model, rest, ["x"]).collect()}
+            y = np.array([churned for i_, _, _, churned, f in made if f == j], float)
+            p = np.array([scored[i_] for i_, _, _, _, f in made if f == j])
+            levels = np.unique(p)[::-1]
+            recall = np.array([0.0] + [y[p >= t].sum() / y.sum() for t in levels])
+            precision.append(float(sum((recall[k + 1] - recall[k]) * y[p >= t].mean() for k, t in enumerate(levels))))
+        assert got[i].mean_pr_auc == pytest.approx(np.mean(precision), abs=1e-9)
+        assert got[i].std_pr_auc == pytest.approx(np.std(precision), abs=1e-9)
+        means.append(np.mean(precision))
+    assert [got[i].is_best for i in range(2)] == [m == max(means) for m in means]
+
+
+def test_prediction_shards_have_the_names_that_the_reader_takes(spark):
+    d = scratch_dir(spark, "t")
+    rows = spark.createDataFrame([(str(i), (i / 10, i > 4)) for i in range(10)], "customer_id string, prediction struct<churn_probability:double, churn_prediction:boolean>").repartition(3)
+    sinks.prediction_shards(rows, d)
+    assert all(n.startswith("prediction.results-0000") for n in os.listdir(d) if not n.endswith(".crc"))
+    assert sorted((r.customer_id, r.churn_probability) for r in scans.read_prediction_shards(spark, d).collect()) == [(str(i), i / 10) for i in range(10)]
+
+
 def test_rejoin_raises_on_missing_ids(spark):
     d = scratch_dir(spark, "t")
     spark.createDataFrame([("1", 0.5)], "customer_id string, churn_probability double").write.json(d)
