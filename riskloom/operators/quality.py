@@ -9,7 +9,10 @@ table's own partition sizes; its result is a long failures table (empty = pass).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.operators.drift import NULL_BUCKET, SCORE_FEATURE, melt_categorical, melt_numeric
@@ -127,6 +130,36 @@ def row_volume_check(current_rows: Column, recent: DataFrame, min_row_ratio: flo
     ).where(F.col("median_recent").isNotNull() & (F.col("median_recent") > 0) & (F.col("observed") < F.lit(min_row_ratio)))
 
 
+@dataclass(frozen=True)
+class Observed:
+    """What was seen of a frame while it was written: rows, and per column (nulls, whether it has any value, whether
+    it has two different ones)."""
+
+    rows: int
+    columns: dict[str, tuple[int, bool, bool]]
+
+    def stats(self, spark: SparkSession) -> DataFrame:
+        rows = [(c, self.rows, nulls, 2 if several else int(some)) for c, (nulls, some, several) in self.columns.items()]
+        return spark.createDataFrame(rows, "feature string, n long, nulls long, nd int")
+
+
+def write_observed(df: DataFrame, path: str, numeric_cols: list[str], categorical_cols: list[str]) -> tuple[DataFrame, Observed]:
+    """Write ``df`` and observe, in the same pass, what DQ7, DQ10 and DQ11 ask for: the row count and each
+    column's nulls, minimum and maximum.  Returns the written table and what was seen."""
+    num = [c for c in numeric_cols if c in df.columns]
+    cat = [c for c in categorical_cols if c in df.columns]
+    # NaN is a missing value, as in melt_numeric
+    value = {c: F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")) for c in num} | {c: F.col(f"`{c}`").cast("string") for c in cat}
+    seen = Observation()
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    for k, v in enumerate(value.values()):
+        metrics += [F.count_if(v.isNull()).alias(f"null{k}"), F.min(v).alias(f"min{k}"), F.max(v).alias(f"max{k}")]
+    df.observe(seen, *metrics).write.mode("overwrite").parquet(path)
+    got = seen.get
+    columns = {c: (got[f"null{k}"], got[f"min{k}"] is not None, got[f"min{k}"] is not None and got[f"min{k}"] != got[f"max{k}"]) for k, c in enumerate(value)}
+    return df.sparkSession.read.schema(df.schema).parquet(path), Observed(got["rows"], columns)
+
+
 def quality_failures(
     current: DataFrame,
     baseline: DataFrame,
@@ -137,13 +170,15 @@ def quality_failures(
     source_columns: list[str] | None = None,
     min_row_ratio: float = MIN_ROW_RATIO,
     max_null_rate_increase: float = MAX_NULL_RATE_INCREASE,
+    observed: Observed | None = None,
 ) -> DataFrame:
     """DQ6: all five assertions, every failure reported: (check, feature, observed, bound).
 
-    ``source_columns`` is what the source returned before any re-alignment (DQ9).
+    ``source_columns`` is what the source returned before any re-alignment (DQ9).  With what
+    ``write_observed`` saw of the frame, only the duplicate keys (DQ8) ask for another pass over it.
     """
     source_columns = list(source_columns if source_columns is not None else current.columns)
-    n_rows = current.agg(F.count(F.lit(1))).scalar()
+    n_rows = F.lit(observed.rows) if observed else current.agg(F.count(F.lit(1))).scalar()
     spark = current.sparkSession
     feats = baseline.groupBy("feature").agg(
         F.first("null_rate", ignorenulls=True).alias("b_null_rate"),
@@ -168,18 +203,18 @@ def quality_failures(
     # DQ10/DQ11 per feature: null rate and distinct count of the live columns, one job.
     num = [c for c in numeric_cols if c in current.columns]
     cat = [c for c in categorical_cols if c in current.columns]
-    melted = None
-    if num:
-        melted = melt_numeric(current, num).select("feature", F.col("value").cast("string").alias("value"))
-    if cat:
-        mc = melt_categorical(current, cat)
-        melted = mc if melted is None else melted.unionByName(mc)
-    if melted is not None:
-        stats = melted.groupBy("feature").agg(
+    stats = None
+    if observed:
+        stats = observed.stats(spark).where(F.col("feature").isin(num + cat))
+    elif num or cat:
+        melted = [melt_numeric(current, num).select("feature", F.col("value").cast("string").alias("value"))] if num else []
+        melted += [melt_categorical(current, cat)] if cat else []
+        stats = reduce(DataFrame.unionByName, melted).groupBy("feature").agg(
             F.count(F.lit(1)).alias("n"),
             F.count_if(F.col("value").isNull()).alias("nulls"),
             F.when(F.min("value") < F.max("value"), 2).otherwise(F.count_if(F.col("value").isNotNull()).cast("boolean").cast("int")).alias("nd"),
         )
+    if stats is not None:
         j = stats.join(F.broadcast(feats), "feature")
         cur_null = F.when(F.col("n") > 0, F.col("nulls") / F.col("n")).otherwise(F.lit(0.0))
         fails.append(

@@ -19,6 +19,7 @@ from riskloom.functions.scalar import arrays_close
 from riskloom.operators import drift, history, quality
 from riskloom.operators.preprocess import align_to_features
 from riskloom.plans import sinks
+from riskloom.plans.evaluate import scratch_dir
 from riskloom.session import materialize
 from riskloom.sources import scans
 
@@ -77,14 +78,14 @@ def feature_report(
     return verdict.join(rule, "feature", "left").withColumn("persistent", F.coalesce("persistent", F.lit(False)))
 
 
-def quality_report(features: DataFrame, snapshot_date, snap: DataFrame, aligned: DataFrame, baseline: DataFrame, numeric_cols: list[str], categorical_cols: list[str]) -> dict:
+def quality_report(features: DataFrame, snapshot_date, snap: DataFrame, aligned: DataFrame, seen: quality.Observed, baseline: DataFrame, numeric_cols: list[str], categorical_cols: list[str]) -> dict:
     """DQ12: the gate judges the frame the model would see, with the columns the source had.
     It fails closed: a check that can't run is a failed check."""
     try:
         recent = quality.recent_partition_sizes(features, snapshot_date)
-        found = quality.quality_failures(aligned, baseline, numeric_cols, categorical_cols, recent, source_columns=snap.columns).collect()  # some per feature
+        found = quality.quality_failures(aligned, baseline, numeric_cols, categorical_cols, recent, source_columns=snap.columns, observed=seen).collect()  # some per feature
         failures = [{"check": r.check, "feature": r.feature, "detail": f"observed {r.observed}, bound {r.bound}"} for r in found]
-        return {"data_quality_failed": bool(failures), "failures": failures, "row_count": aligned.count()}
+        return {"data_quality_failed": bool(failures), "failures": failures, "row_count": seen.rows}
     except Exception as error:  # noqa: BLE001
         log.exception("the quality gate did not run")
         return {"data_quality_failed": True, "failures": [{"check": "check_failed", "feature": None, "detail": str(error)[:200]}], "row_count": 0}
@@ -125,7 +126,8 @@ def run_drift_check(
     if persistence_min_breaches > persistence_window:
         raise ValueError("persistence_min_breaches cannot exceed persistence_window")
     snapshot_date, snap = scans.latest_partition(features)  # SRC2: one scalar, then pruning
-    aligned = materialize(align_to_features(snap, numeric_cols + categorical_cols, levels, categorical=categorical_cols, keep=["customer_id"]))  # PRJ6
+    aligned = align_to_features(snap, numeric_cols + categorical_cols, levels, categorical=categorical_cols, keep=["customer_id"])  # PRJ6
+    aligned, seen = quality.write_observed(aligned, scratch_dir(spark, "aligned"), numeric_cols, categorical_cols)
     own = baseline.where(F.col("feature") != drift.SCORE_FEATURE)
     judge = (own, aligned, champion, numeric_cols, categorical_cols)
     rule = (psi_threshold, persistence_window, persistence_min_breaches)
@@ -137,7 +139,7 @@ def run_drift_check(
         log.exception("drift history can't be read; every breach counts as the first")
         rows = feature_report(*judge, None, *rule).collect()
     breached, persistent = [r for r in rows if r.breached], [r for r in rows if r.persistent]
-    gate = quality_report(features, snapshot_date, snap, aligned, own, numeric_cols, categorical_cols)
+    gate = quality_report(features, snapshot_date, snap, aligned, seen, own, numeric_cols, categorical_cols)
     failed = gate["data_quality_failed"]
     decision = empty | score_report(baseline, scores) | {
         "champion_model": champion,
@@ -149,7 +151,7 @@ def run_drift_check(
         "feature_null_rates": {r.feature: {"baseline": r.baseline_null_rate, "current": r.current_null_rate} for r in rows if r.baseline_null_rate is not None},
         "breached_features": {r.feature: r.psi for r in breached},
         "unmonitored_features": sorted(r.feature for r in rows if not r.monitored),
-        "current_sample_size": gate["row_count"] or aligned.count(),
+        "current_sample_size": seen.rows,
         "run_drift_detected": bool(breached),
         "persistence_window": persistence_window,
         "persistence_min_breaches": persistence_min_breaches,

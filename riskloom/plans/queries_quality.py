@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from riskloom.operators import drift, history, quality
 from riskloom.operators.features import TIER_VALUES
 from riskloom.plans import oracle as O
+from riskloom.plans.evaluate import scratch_dir
 from riskloom.plans.registry import register
 from riskloom.sources import derived as D
 
@@ -133,9 +134,9 @@ def _gate_stats_cte() -> str:
 )
 def dq6_quality_gate(spark, sf_dir):
     base = drift.freeze(drift.build_baseline(D.replay_snapshot(spark, sf_dir, D.BASELINE_DATE), D.FEATURE_NUMERIC, D.FEATURE_CATEGORICAL))
-    cur = D.stored(D.defective_snapshot(spark, sf_dir))
+    cur, seen = quality.write_observed(D.defective_snapshot(spark, sf_dir), scratch_dir(spark, "gated"), D.FEATURE_NUMERIC, D.FEATURE_CATEGORICAL)
     recent = quality.recent_partition_sizes(D.history(spark, sf_dir), D.CURRENT_DATE)
-    return quality.quality_failures(cur, base, D.FEATURE_NUMERIC, D.FEATURE_CATEGORICAL, recent)
+    return quality.quality_failures(cur, base, D.FEATURE_NUMERIC, D.FEATURE_CATEGORICAL, recent, observed=seen)
 
 
 # ------------------------------------------------------------------------------ history

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from riskloom.operators import risk
 from riskloom.plans import oracle as O
+from riskloom.plans import sinks
+from riskloom.plans.evaluate import scratch_dir
 from riskloom.plans.registry import register
 from riskloom.sources import derived as D
 
@@ -28,6 +30,20 @@ def rk1_risk_current(spark, sf_dir):
     return _mart(spark, sf_dir)
 
 
+MART_BUCKETS = 16
+
+
+@register("rk1_jn3_bucketed_mart", O.with_ctes(*O.risk_base(), body="SELECT * FROM mart"), doubles=MART_DOUBLES)
+def rk1_bucketed_mart(spark, sf_dir):
+    """The same mart from stored tables with the same buckets: the newest date from the partition list, a literal
+    on both sides, and a join without an exchange."""
+    features = D.stored(D.history(spark, sf_dir))
+    names = [sinks.save_bucketed(t, scratch_dir(spark, "bucketed"), "customer_id", MART_BUCKETS, "snapshot_date") for t in (D.score_features(features), features)]
+    days = [r.partition.split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {names[0]}").collect()]
+    scored, stored = (spark.table(n) for n in names)
+    return risk.risk_current(scored, stored.hint("merge"), max(days))
+
+
 @register(
     "rk2_ag9_risk_daily",
     O.with_ctes(O.ADAPTER, O.STAGING, O.history_cte(), O.PREDICTIONS, O.DAILY, body="SELECT * FROM daily"),

@@ -9,7 +9,9 @@ from riskloom.operators import preprocess, splits
 from riskloom.operators.features import FEATURE_COLUMNS
 from riskloom.plans import oracle as O
 from riskloom.plans import sinks
+from riskloom.plans.evaluate import scratch_dir
 from riskloom.plans.registry import register
+from riskloom.plans.versions import VersionedTable
 from riskloom.sources import derived as D
 from riskloom.sources import scans
 
@@ -140,6 +142,19 @@ def snk10_retention(spark, sf_dir):
     return kept.groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register(
+    "snk10_expired_partitions",
+    O.with_ctes(O.ADAPTER, O.STAGING, O.history_cte(), O.PREDICTIONS, body="SELECT * FROM scored WHERE snapshot_date >= DATE '2024-02-05' - INTERVAL 20 DAY"),
+    doubles=("churn_probability",),
+)
+def snk10_expired(spark, sf_dir):
+    """Whole days leave the published prediction log; what remains is read from the next version."""
+    table = VersionedTable(spark, scratch_dir(spark, "retention"))
+    table.replace(D.predictions(spark, sf_dir))
+    sinks.expire_partitions(spark, table, "2024-02-05", 20)
+    return table.read()
+
+
 _X_COLS = [c for c in FEATURE_COLUMNS if c not in ("customer_id", "snapshot_date", "churned")]
 
 

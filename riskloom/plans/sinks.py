@@ -1,20 +1,22 @@
 """Writers and table maintenance (SNK1–SNK11).
 
-Tables are plain parquet directories partitioned by date.  Publishing follows H6: a job
-never overwrites the directory it is reading; it writes a complete new version and the
-caller swaps it in (or, for partitioned tables, overwrites only the touched partitions with
-``partitionOverwriteMode=dynamic``, which Spark commits per job).
+Tables that have readers are published as versions (:mod:`riskloom.plans.versions`): a write is seen whole or not
+at all.  The plain writers here serve files that one job hands to the next.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import math
+import uuid
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.scalar import as_date, ntz_literal
+from riskloom.plans.versions import DEFAULT_PARTITION, VersionedTable
 
 
 def assert_same_schema(df: DataFrame, existing: DataFrame | None) -> None:
@@ -38,11 +40,50 @@ def overwrite_partitions(df: DataFrame, path: str, partition_col: str = "snapsho
     )
 
 
-def clustered(df: DataFrame, keys: list[str], partitions: int | None = None) -> DataFrame:
-    """SNK11: hash-partition by key and sort inside files, so parquet min/max statistics
-    skip row groups on key lookups."""
-    x = df.repartition(partitions, *keys) if partitions else df.repartition(*keys)
-    return x.sortWithinPartitions(*keys)
+CLUSTER_SAMPLE = 10_000  # rows drawn to cut each key's values into ranges: layout only
+CLUSTER_BITS = 6  # of each key in the interleaved number
+
+
+def _ordinal(key: str, cuts: list) -> Column:
+    """In which of the ranges that ``cuts`` part a value lies, spread over all ``CLUSTER_BITS``; nulls first."""
+    if not cuts:
+        return F.lit(0)
+    bounds = F.array(*[F.lit(c) for c in cuts])
+    place = F.when(F.col(key).isNull(), 0).otherwise(F.size(F.filter(bounds, lambda b: b <= F.col(key))))
+    return F.floor(place * (1 << CLUSTER_BITS) / (len(cuts) + 1)).cast("int")
+
+
+def clustered(df: DataFrame, keys: list[str], partitions: int | None = None, interleave: bool = False) -> DataFrame:
+    """SNK11: range-partition by the keys and sort inside files, so that each file spans a narrow range of them and
+    parquet's minima and maxima skip the others.
+
+    In order of the keys a lookup by the first one reads few row groups and one by a later key all of them;
+    with ``interleave`` the order is by the interleaved bits of all keys' ranges, which serves each alone.
+    """
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if not interleave:
+        return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    rows = df.select(*keys).where(F.rand(7) < F.least(F.lit(1.0), F.lit(float(CLUSTER_SAMPLE)) / F.greatest(df.agg(F.count(F.lit(1))).scalar(), F.lit(1))))
+    drawn = rows.limit(2 * CLUSTER_SAMPLE).collect()
+    z = F.lit(0).cast("long")
+    for at, key in enumerate(keys):
+        values = sorted(r[key] for r in drawn if r[key] is not None)
+        steps = (1 << CLUSTER_BITS) - 1
+        cuts = sorted({values[len(values) * k // (steps + 1)] for k in range(1, steps + 1)}) if values else []
+        place = _ordinal(key, cuts)
+        for bit in range(CLUSTER_BITS):
+            z = z.bitwiseOR(F.shiftleft(F.shiftright(place, bit).bitwiseAND(F.lit(1)).cast("long"), bit * len(keys) + len(keys) - 1 - at))
+    name = "_z"
+    return df.withColumn(name, z).repartitionByRange(n, name, *keys).sortWithinPartitions(name, *keys).drop(name)
+
+
+def save_bucketed(df: DataFrame, path: str, key: str, buckets: int, partition_col: str | None = None) -> str:
+    """A table bucketed and sorted by ``key`` at ``path``, one file a bucket (and partition): tables with the same buckets
+    join on the key without an exchange.  Returns the table's name."""
+    name = f"bucketed_{uuid.uuid4().hex}"
+    w = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path)
+    (w.partitionBy(partition_col) if partition_col else w).saveAsTable(name)
+    return name
 
 
 def append(df: DataFrame, path: str, partition_col: str | None = None) -> None:
@@ -124,6 +165,36 @@ def retention(table: DataFrame, as_of, days: int, date_col: str = "snapshot_date
     return table.where(F.col(date_col) >= F.date_sub(as_date(as_of), days))
 
 
+def expired(values: list[str], as_of, days: int) -> list[str]:
+    """The dates (as text) before the retention window."""
+    first = dt.date.fromisoformat(str(as_of)) - dt.timedelta(days=days)
+    return sorted(v for v in values if dt.date.fromisoformat(v) < first)
+
+
+def expire_partitions(spark: SparkSession, table: VersionedTable | str, as_of, days: int, date_col: str = "snapshot_date", dry_run: bool = False) -> list[str]:
+    """SNK10: drop whole partitions outside the window; returns their dates (``dry_run``: only that).
+
+    No row is read or written: a published table gets a version without them (``vacuum`` deletes the files when no
+    kept version names them), of a plain folder the subfolders go, each by one rename out of sight first, so that a
+    reader never lists half a partition."""
+    if isinstance(table, VersionedTable):
+        gone = expired(table.partitions(), as_of, days)
+        if gone and not dry_run:
+            table.drop(gone)
+        return gone
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    fs = at(table).getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = {unquote(n.removeprefix(f"{date_col}=")): n for n in (s.getPath().getName() for s in fs.listStatus(at(table))) if n.startswith(f"{date_col}=")}
+    gone = expired([v for v in folders if v != DEFAULT_PARTITION], as_of, days)
+    if not dry_run:
+        for v in gone:
+            hidden = at(f"{table.rstrip('/')}/_expired-{folders[v]}")
+            if not fs.rename(at(f"{table.rstrip('/')}/{folders[v]}"), hidden):
+                raise OSError(f"could not expire {folders[v]}")
+            fs.delete(hidden, True)
+    return gone
+
+
 def decision_json(decision: dict) -> str:
     """SNK9: decision document; absent (None) sections omitted, ±inf kept as text."""
 
