@@ -89,6 +89,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
+    """Arrow batches of at most ``size`` bytes from now on: with whole texts in them Spark's own bound is eight
+    times that for each task, in the JVM and again in its Python worker."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key, "0").lower().rstrip("b") or 0) > size:
+        spark.conf.set(key, str(size))
+
+
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``mapInArrow`` for a function of one batch."""
 
