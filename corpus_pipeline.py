@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import decontaminate, exact_dedup, near_dedup, packing, toxicity
-from riskloom.llm.base import Scope, all_but_first, drop_table, numbered, table, without
+from riskloom.llm.base import Scope, all_but_first, drop_table, numbered, small_batches, table, without
 from riskloom.llm.queries import see_package
 
 # The pipeline's near-duplicate stage: similarity in per cent, and 28 bands of four, which lose a pair of
@@ -22,10 +22,15 @@ def by_row(docs: DataFrame, row: str) -> DataFrame:
     return docs.select(F.col(row).alias("doc_id"), "text")
 
 
+def prepare(spark: SparkSession) -> None:
+    see_package(spark)
+    small_batches(spark)
+
+
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model rejects go.  Null and empty texts are scored like any other; without
     labels nothing is learnt and no document is rejected; an empty table stays empty."""
-    see_package(spark)
+    prepare(spark)
     docs, row = numbered(docs)
     with Scope(spark) as tables:
         model = toxicity.train(docs, table(spark, sf_dir, "labels"))  # labels name documents by doc_id
@@ -37,7 +42,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts one row stays: one with the smallest doc_id (null last).  Null texts equal empty
     ones; an empty table stays empty."""
-    see_package(spark)
+    prepare(spark)
     docs, row = numbered(docs)
     with Scope(spark) as tables:
         equal = exact_dedup.exact_duplicates(by_row(docs, row)).where("group_size > 1")
@@ -50,7 +55,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, **how: i
     """One row of each near-duplicate component stays: one with the smallest doc_id (null last).  Null, empty and
     wordless texts stand alone; an empty table stays empty.
     ``how`` goes to the operator, whose own similarity is 85 per cent; the pipeline's is ``NEAR``."""
-    see_package(spark)
+    prepare(spark)
     docs, row = numbered(docs)
     with Scope(spark) as tables:
         near = near_dedup.near_duplicates(by_row(docs, row), **how)
@@ -62,7 +67,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, **how: i
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go.  Null and empty texts hold none; an empty table or
     benchmark takes nothing away."""
-    see_package(spark)
+    prepare(spark)
     docs, row = numbered(docs)
     with Scope(spark) as tables:
         found = decontaminate.contamination(by_row(docs, row), table(spark, sf_dir, "benchmark"))
@@ -73,7 +78,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of every remaining document and its place in a sequence.  Null and empty texts are their end
     token alone, repeated rows are packed each for itself; an empty table gives no rows."""
-    see_package(spark)
+    prepare(spark)
     with Scope(spark) as tables:
         return tables.keep(packing.pack(packing.tokens(docs, packing.default_tokenizer())), "packed")
 
