@@ -96,6 +96,32 @@ def roll_up(states: DataFrame, as_of, computed_at: dt.datetime | None = None) ->
     return feat.stamp(out, as_of, computed_at).select(*feat.FEATURE_COLUMNS)
 
 
+def merge_newest(events: VersionedTable, fresh: DataFrame, copy_days: int | None = None, batch: tuple[str, int] | None = None) -> None:
+    """Merge rows into a table of one copy, the newest, per event, partitioned by event day.
+
+    Only the days of the rows and of copies that the table holds of their events are read whole and written; with
+    ``copy_days`` copies are looked for no further away than that.  ``fresh`` holds an event once at most.
+    """
+    fresh = fresh.withColumn(DAY, F.to_date("event_timestamp"))
+    if not events.exists():
+        events.replace(fresh, DAY, batch=batch)
+        return
+    own = {str(r[0]) for r in fresh.select(DAY).distinct().collect()}  # days: few
+    if not own:
+        return
+    there = events.partitions()
+    if copy_days is not None:
+        pad = dt.timedelta(days=copy_days)
+        low, high = (dt.date.fromisoformat(f(own)) for f in (min, max))
+        there = [d for d in there if low - pad <= dt.date.fromisoformat(d) <= high + pad]
+    ids = events.read(values=there).select("event_id", DAY)
+    copies = {str(r[0]) for r in ids.join(fresh.select("event_id"), "event_id", "left_semi").select(DAY).distinct().collect()}
+    touched = sorted(own | copies)
+    held = events.read(values=touched)
+    both = feat.dedupe_newest(held.unionByName(fresh.select(held.columns)).drop(DAY))
+    events.replace(both.withColumn(DAY, F.to_date("event_timestamp")), DAY, batch=batch, empty=touched)
+
+
 class FeatureStates:
     """The three tables below ``path``."""
 
@@ -109,24 +135,8 @@ class FeatureStates:
         A copy of an event may come in any batch and lie on any day; with ``copy_days`` the source promises that copies are
         at most so many days apart, and only those days are searched for them.
         """
-        fresh = feat.dedupe_newest(feat.without_anomalies(log).drop("anomaly_injected")).withColumn(DAY, F.to_date("event_timestamp"))
-        if self.events.exists():
-            own = {str(r[0]) for r in fresh.select(DAY).distinct().collect()}  # days: few
-            if not own:
-                return self.refresh()
-            there = self.events.partitions()
-            if copy_days is not None:
-                pad = dt.timedelta(days=copy_days)
-                low, high = (dt.date.fromisoformat(f(own)) for f in (min, max))
-                there = [d for d in there if low - pad <= dt.date.fromisoformat(d) <= high + pad]
-            ids = self.events.read(values=there).select("event_id", DAY)
-            copies = {str(r[0]) for r in ids.join(fresh.select("event_id"), "event_id", "left_semi").select(DAY).distinct().collect()}
-            touched = sorted(own | copies)
-            held = self.events.read(values=touched)
-            fresh = feat.dedupe_newest(held.unionByName(fresh.select(held.columns)).drop(DAY)).withColumn(DAY, F.to_date("event_timestamp"))
-            self.events.replace(fresh, DAY, empty=touched)
-        else:
-            self.events.replace(fresh, DAY)
+        fresh = feat.dedupe_newest(feat.without_anomalies(log).drop("anomaly_injected"))
+        merge_newest(self.events, fresh, copy_days)
         return self.refresh()
 
     def refresh(self) -> list[str]:

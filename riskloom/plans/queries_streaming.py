@@ -34,6 +34,20 @@ def st1_landing(spark, sf_dir):
     return landing.landed_events(spark, sink)
 
 
+@register(
+    "st2_stream_newest",
+    O.with_ctes(O.ADAPTER, body="SELECT * EXCLUDE (rn) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY event_id ORDER BY event_timestamp DESC) AS rn FROM cdc) WHERE rn = 1"),
+    doubles=("monthly_transaction", "engagement_score"),
+)
+def st2_newest(spark, sf_dir):
+    """The same log as a stream into a table of one copy, the newest, per event."""
+    base = scratch_dir(spark, "newest")
+    src, table, ckpt = (os.path.join(base, p) for p in ("incoming", "table", "checkpoint"))
+    activity_log(spark, sf_dir).repartition("event_timestamp").write.parquet(src)
+    landing.land_newest(landing.event_stream(spark, src, FILES_PER_TRIGGER), table, ckpt)
+    return VersionedTable(spark, table).read().drop("event_date")
+
+
 @register(
     "st3_stream_score_upsert",
     O.with_ctes(O.ADAPTER, O.STAGING, O.history_cte(), O.PREDICTIONS,

@@ -4,17 +4,22 @@ The reference has no streaming engine: it appends events and recomputes in batch
 jobs are the streaming form of the same steps: land every file's rows as they arrive (exactly
 once via the checkpoint), and upsert scores per micro-batch.  Landing drops nothing: files hold
 weeks of events, so a watermark short enough to bound state would lose late ones.  Copies of
-an event go in batch staging, which keeps the newest.
+an event go in staging, in batch or as a stream into a table that keeps the newest.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from riskloom.operators.features import dedupe_newest
 from riskloom.plans import sinks
+from riskloom.plans.incremental import merge_newest
 from riskloom.plans.versions import VersionedTable
 
 CDC_SCHEMA = T.StructType(
@@ -44,13 +49,69 @@ def event_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: in
     return r.parquet(source_dir)
 
 
-def dedupe_within_watermark(events: DataFrame, lateness: str) -> DataFrame:
-    """ST2: drop replays of an event id that arrive within ``lateness`` of the first copy, for
-    sources that promise to be no later than that: rows behind the watermark are dropped by
-    Spark, so the caller must name the source's own bound.  State is bounded by it.  Watermarks need an
-    instant type, so the UTC wall-clock timestamp is read as an instant (session zone UTC)."""
-    timed = events.withColumn("_event_time", F.col("event_timestamp").cast("timestamp"))
-    return timed.withWatermark("_event_time", lateness).dropDuplicatesWithinWatermark(["event_id"]).drop("_event_time")
+STATE_TTL = dt.timedelta(days=7)
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class NewestCopy(StatefulProcessor):
+    """Per event id the time of the newest copy so far, kept for a while after its last copy; rows that are no older
+    than it pass (which of equally new ones counts is for the table to say)."""
+
+    def __init__(self, ttl: dt.timedelta):
+        self.ttl = int(ttl.total_seconds() * 1000)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.newest = handle.getValueState("newest", "at timestamp_ntz", self.ttl)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        held = self.newest.get()[0] if self.newest.exists() else None
+        best: list[Row] = []
+        for row in rows:
+            if best and row.event_timestamp > best[0].event_timestamp:
+                best = []
+            if not best or row.event_timestamp == best[0].event_timestamp:
+                best.append(row)
+        if held is None or best[0].event_timestamp >= held:
+            self.newest.update((best[0].event_timestamp,))
+            yield from best
+
+    def close(self) -> None:
+        pass
+
+
+def newest_copies(events: DataFrame, ttl: dt.timedelta = STATE_TTL) -> DataFrame:
+    """ST2: the stream without copies that are older than one already seen.  Nothing is late here: state is bounded by
+    its time to live, not by a watermark, and a copy that comes after that passes again.  So the result is for a table that
+    keeps the newest itself; the state only spares it the bulk of the replays."""
+    return events.groupBy("event_id").transformWithState(NewestCopy(ttl), events.schema, "Update", "ProcessingTime")
+
+
+def land_newest(events: DataFrame, table_dir: str, checkpoint_dir: str, ttl: dt.timedelta = STATE_TTL):
+    """ST2: one row, the newest, per event id in a published table partitioned by event day; each batch
+    rewrites only the days it touches, and counts once."""
+    spark = events.sparkSession
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(setting, None)
+
+    def merge_batch(batch: DataFrame, batch_id: int) -> None:
+        table = VersionedTable(batch.sparkSession, table_dir)
+        writer = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or checkpoint_dir
+        if table.done(writer) < batch_id:
+            merge_newest(table, dedupe_newest(batch), batch=(writer, batch_id))
+
+    spark.conf.set(setting, ROCKSDB)  # the state of transformWithState lives there
+    try:
+        q = newest_copies(events, ttl).writeStream.foreachBatch(merge_batch).outputMode("update").option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(setting, before) if before else spark.conf.unset(setting)
+    while q.isActive:  # state with a time to live asks for batches without end: the first without rows is the last
+        if q.lastProgress is not None and not q.lastProgress["numInputRows"]:
+            q.stop()
+        else:
+            q.awaitTermination(0.1)
+    if q.exception():
+        raise q.exception()
+    return q
 
 
 def landed_events(spark: SparkSession, sink_dir: str) -> DataFrame:

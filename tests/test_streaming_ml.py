@@ -29,6 +29,48 @@ def test_landing_loses_no_event(spark, files):
     assert landing.landed_events(spark, f"{base}/table").count() == raw.select("event_id").distinct().count()
 
 
+def copies(spark, *rows):
+    """(event_id, hour, amount) as events of one customer."""
+    full = [(i, dt.datetime(2024, 1, 5) + dt.timedelta(hours=h), 1, "page_view", "EU", "friend", a, "pending", 1, None, 5, 0, False, "web", False) for i, h, a in rows]
+    return spark.createDataFrame(full, landing.CDC_SCHEMA)
+
+
+def test_late_newer_copies_win_one_file_a_trigger(spark):
+    base = scratch_dir(spark, "newest-test")
+    arrivals = [[(1, 5, 1.0), (2, 5, 1.0)], [(1, 3, 9.0)], [(1, 30, 2.0), (3, 1, 1.0)], [(1, 4, 9.0), (2, 5, 7.0), (2, 2, 9.0)]]
+    for k, rows in enumerate(arrivals):
+        copies(spark, *rows).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        landing.land_newest(landing.event_stream(spark, f"{base}/in", 1), f"{base}/table", f"{base}/ckpt")
+    table = VersionedTable(spark, f"{base}/table")
+    got = table.read()
+    want = landing.dedupe_newest(spark.read.parquet(f"{base}/in"))
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+    assert sorted((r.event_id, r.event_timestamp.day, r.monthly_transaction) for r in got.collect()) == [(1, 6, 2.0), (2, 5, 7.0), (3, 5, 1.0)]
+    assert len(table.manifest().batches) == 1 and len(table.versions()) == len(arrivals) - 1  # the older copy of event 1 never reached the table
+
+
+def test_newest_of_a_stream_equals_batch_staging(spark):
+    base = scratch_dir(spark, "newest-test")
+    raw = activity_log(spark, SF_SMALL)
+    raw.repartition(4, "event_timestamp").write.parquet(f"{base}/in")
+    landing.land_newest(landing.event_stream(spark, f"{base}/in", 2), f"{base}/table", f"{base}/ckpt")
+    got, want = VersionedTable(spark, f"{base}/table").read().drop("event_date"), landing.dedupe_newest(raw)
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+
+
+def test_state_goes_after_its_time_to_live(spark):
+    """Without state an old copy passes the stream again; the table still keeps the newest."""
+    base = scratch_dir(spark, "newest-test")
+    short = dt.timedelta(milliseconds=1)
+    for rows in ([(1, 5, 1.0)], [(1, 3, 9.0)], [(2, 1, 1.0)]):
+        copies(spark, *rows).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        q = landing.land_newest(landing.event_stream(spark, f"{base}/in", 1), f"{base}/table", f"{base}/ckpt", short)
+        state = q.lastProgress["stateOperators"][0]["numRowsTotal"] if q.lastProgress["stateOperators"] else 0
+    assert state <= 2
+    got = VersionedTable(spark, f"{base}/table").read().collect()
+    assert sorted((r.event_id, r.monthly_transaction) for r in got) == [(1, 1.0), (2, 1.0)]
+
+
 SCORES = "customer_id long, snapshot_date date, churn_probability double, predicted_at timestamp_ntz"
 
 
