@@ -96,7 +96,7 @@ def small_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
     """Arrow batches of at most ``size`` bytes from now on: with whole texts in them Spark's own bound is eight
     times that for each task, in the JVM and again in its Python worker."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(spark.conf.get(key, "0").lower().rstrip("b") or 0) > size:
+    if int(spark.conf.get(key).lower().rstrip("b")) > size:
         spark.conf.set(key, str(size))
 
 
