@@ -96,4 +96,4 @@ def oracle_sql() -> dict[str, str]:
 
 def _load() -> None:
     # Importing the query modules fills REGISTRY.
-    from riskloom.plans import queries_drift, queries_explore, queries_features, queries_metrics, queries_ml, queries_quality, queries_risk, queries_splits, queries_streaming  # noqa: F401
+    from riskloom.plans import queries_contracts, queries_drift, queries_explore, queries_features, queries_metrics, queries_ml, queries_quality, queries_risk, queries_splits, queries_streaming  # noqa: F401
