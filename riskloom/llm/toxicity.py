@@ -156,7 +156,7 @@ def counts(texts: DataFrame) -> DataFrame:
 
     def count(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         bad = batch.column(1).to_numpy()
-        for a, b, buf, offs in T.runs(batch.column(0), 1 << 23):
+        for a, b, buf, offs in T.runs(batch.column(0), 1 << 21):
             code, at = grams(buf, offs, ORDER)
             g, inverse = np.unique(code, return_inverse=True)
             one = np.bincount(inverse, weights=bad[a:b][np.searchsorted(offs, at, "right") - 1], minlength=len(g)).astype(np.int64)
