@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.operators.features import CATEGORICAL_COLS, ID_COLS, TARGET_COL
+from riskloom.operators.ordered import BUCKET_COL, range_bucketed, ranked
 
 
 def feature_names(df: DataFrame) -> list[str]:
@@ -21,12 +22,12 @@ def prepare_features(df: DataFrame, label_col: str = "y") -> DataFrame:
 
 def category_levels(df: DataFrame, cols: list[str] = CATEGORICAL_COLS) -> DataFrame:
     """PRJ7: (column_name, level, code) — sorted distinct non-null levels per column, code
-    0-based in sort order.  Levels per column are few, so the window is small."""
+    0-based in sort order.  Levels are ranked in ranges, so a column of many takes many tasks."""
     present = [c for c in cols if c in df.columns]
     m = df.select(*[F.col(c).cast("string").alias(c) for c in present]).unpivot([], present, "column_name", "level")
-    lv = m.where(F.col("level").isNotNull()).distinct()
-    w = Window.partitionBy("column_name").orderBy("level")
-    return lv.withColumn("code", (F.row_number().over(w) - 1).cast("int"))
+    lv = range_bucketed(m.where(F.col("level").isNotNull()).distinct(), ["column_name"], "level")
+    placed = ranked(lv, ["column_name"], ["level"], F.col(BUCKET_COL))
+    return placed.select("column_name", "level", (F.col("_row_number") - 1).cast("int").alias("code"))
 
 
 def has_any_feature(df: DataFrame, features: list[str]) -> bool:
@@ -46,8 +47,8 @@ def align_to_features(
     """PRJ6: exactly ``features`` in order; missing → NULL; extras dropped; numerics cast
     (ANSI cast raises on bad text); categoricals outside the frozen levels → NULL.
 
-    ``levels`` is the PRJ7 table (a few rows per column), collapsed to one array per column
-    by a scalar subquery and tested with ``array_contains`` — no join at all.
+    ``levels`` is the PRJ7 table; each categorical is joined to its own levels, which the planner broadcasts
+    when they are few.
     """
     cols = []
     for f in features:
@@ -60,10 +61,7 @@ def align_to_features(
     out = df.select(*kept, *cols)
     if levels is None:
         return out
-    present = [c for c in categorical if c in features]
-    # One scalar subquery per categorical column: the array of its frozen levels.
-    allowed = {c: levels.where(F.col("column_name") == c).agg(F.collect_list("level")).scalar() for c in present}
-    return out.select(
-        *kept,
-        *[F.when(F.array_contains(allowed[f], F.col(f)), F.col(f)).alias(f) if f in present else F.col(f) for f in features],
-    )
+    for i, c in enumerate(f for f in features if f in categorical):
+        known = levels.where(F.col("column_name") == c).select(F.col("level").alias(f"_level{i}")).distinct()
+        out = out.join(known, F.col(c) == F.col(f"_level{i}"), "left").withColumn(c, F.col(f"_level{i}")).drop(f"_level{i}")
+    return out.select(*kept, *features)
