@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.scalar import as_date, ntz_literal
+from riskloom.operators.drift import NULL_BUCKET
 from riskloom.plans.versions import DEFAULT_PARTITION, VersionedTable
 
 
@@ -195,7 +196,24 @@ def expire_partitions(spark: SparkSession, table: VersionedTable | str, as_of, d
     return gone
 
 
-def decision_json(decision: dict) -> str:
+def baseline_stats(baseline: DataFrame) -> dict[str, dict]:
+    """The side-car document's form of a baseline: one spec per feature (the document is one file, so its
+    buckets pass through the driver)."""
+    out: dict[str, dict] = {}
+    for r in sorted(baseline.collect(), key=lambda r: (r.feature, r.bucket)):
+        spec = out.setdefault(r.feature, {"type": r.kind, "null_rate": r.null_rate, "monitored": r.monitored})
+        if r.bucket == NULL_BUCKET:
+            continue
+        if r.kind == "numeric":
+            spec.setdefault("bin_edges", [r.lo]).append(r.hi)
+            if r.expected is not None:
+                spec.setdefault("expected_pct", []).append(r.expected)
+        else:
+            spec.setdefault("frequencies", {})[r.bucket_key if r.kind == "categorical" else str(float(r.bucket_value))] = r.expected
+    return out
+
+
+def decision_json(decision: dict, sort_keys: bool = True) -> str:
     """SNK9: decision document; absent (None) sections omitted, ±inf kept as text."""
 
     def clean(v):
@@ -207,4 +225,4 @@ def decision_json(decision: dict) -> str:
             return [clean(x) for x in v]
         return v
 
-    return json.dumps(clean(decision), sort_keys=True)
+    return json.dumps(clean(decision), sort_keys=sort_keys)

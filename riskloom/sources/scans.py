@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.scalar import as_date
+from riskloom.operators.drift import BASELINE_COLUMNS, NULL_BUCKET, NULL_KEY
 from riskloom.plans.versions import DEFAULT_PARTITION, VersionedTable
 
 
@@ -104,6 +105,18 @@ def read_prediction_shards(spark: SparkSession, directory: str, glob: str = "pre
     )
 
 
+# The fields of a frozen distribution in the side-car document.  ``type`` is categorical, discrete (keys
+# are the numbers' text) or numeric; an absent null_rate, monitored or expected_pct marks an older document.
+BASELINE_SPEC = T.StructType(
+    [
+        T.StructField("type", T.StringType()),
+        T.StructField("frequencies", T.MapType(T.StringType(), T.DoubleType())),
+        T.StructField("bin_edges", T.ArrayType(T.DoubleType())),
+        T.StructField("expected_pct", T.ArrayType(T.DoubleType())),
+        T.StructField("null_rate", T.DoubleType()),
+        T.StructField("monitored", T.BooleanType()),
+    ]
+)
 METADATA_SCHEMA = T.StructType(
     [
         T.StructField("model_version", T.StringType()),
@@ -112,7 +125,7 @@ METADATA_SCHEMA = T.StructType(
         T.StructField("categorical_categories", T.MapType(T.StringType(), T.ArrayType(T.StringType()))),
         T.StructField("importances", T.MapType(T.StringType(), T.DoubleType())),
         T.StructField("shap_importance", T.MapType(T.StringType(), T.DoubleType())),
-        T.StructField("baseline_stats", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("baseline_stats", T.MapType(T.StringType(), BASELINE_SPEC)),
         T.StructField("training_snapshot_date", T.StringType()),
         T.StructField("row_count", T.LongType()),
         T.StructField("trained_at", T.StringType()),
@@ -123,7 +136,31 @@ METADATA_SCHEMA = T.StructType(
 def read_model_metadata(spark: SparkSession, path: str) -> DataFrame:
     """SRC7: the model side-car document; unknown fields are ignored (tolerant), absent
     optional fields read as NULL."""
-    return spark.read.schema(METADATA_SCHEMA).option("multiLine", True).json(path)
+    return spark.read.schema(METADATA_SCHEMA).option("multiLine", True).option("allowNonNumericNumbers", True).json(path)
+
+
+def baseline_of(metadata: DataFrame) -> DataFrame:
+    """SRC7: the bucket table (BASELINE_COLUMNS) of a side-car document, as a drift run takes it.
+
+    An older numeric spec without proportions gets buckets with a NULL share, one without null_rate no null bucket.
+    """
+    spec = metadata.select("row_count", F.explode("baseline_stats").alias("feature", "s")).select("feature", "s.*", F.col("row_count").alias("n_rows"))
+    slot = lambda pos, key, value, lo, hi, expected: F.struct(
+        pos.cast("int").alias("bucket"), key.cast("string").alias("bucket_key"), value.cast("double").alias("bucket_value"), lo.cast("double").alias("lo"), hi.cast("double").alias("hi"), expected.cast("double").alias("expected")
+    )
+    none = F.lit(None)
+    pairs = F.map_entries(F.coalesce("frequencies", F.create_map().cast("map<string,double>")))
+    counted = F.transform(
+        pairs,
+        lambda p, i: slot(i + 1, F.when(F.col("type") == "categorical", p["key"]), F.when(F.col("type") == "discrete", p["key"]), none, none, p["value"]),
+    )
+    edges = F.coalesce("bin_edges", F.array().cast("array<double>"))
+    lower = F.slice(edges, 1, F.greatest(F.size(edges) - 1, F.lit(0)))
+    binned = F.transform(lower, lambda lo, i: slot(i, none, none, lo, F.get(edges, i + 1), F.get(F.col("expected_pct"), i)))
+    values = F.when(F.col("type") == "numeric", binned).otherwise(counted)
+    missing = F.when(F.col("null_rate").isNotNull(), F.array(slot(F.lit(NULL_BUCKET), F.lit(NULL_KEY), none, none, none, F.col("null_rate")))).otherwise(F.slice(values, 1, 0))
+    rows = spec.select("feature", F.col("type").alias("kind"), "null_rate", "monitored", F.size(values).alias("value_cardinality"), "n_rows", F.explode(F.concat(values, missing)).alias("b"))
+    return rows.select("feature", "kind", "b.*", "null_rate", "monitored", "value_cardinality", "n_rows").select(*BASELINE_COLUMNS)
 
 
 def schema_catalog(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:

@@ -4,11 +4,12 @@ metadata reading, schema-gap report, trend bounds."""
 import datetime as dt
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.operators import explore, quality, risk
+from riskloom.operators import drift, explore, quality, risk
 from riskloom.plans import sinks
 from riskloom.plans.evaluate import scratch_dir
 from riskloom.sources import scans
@@ -61,6 +62,33 @@ def test_metadata_reader_is_tolerant(spark):
     assert r.model_version == "v1" and r.feature_names == ["a", "b"] and r.categorical_categories is None
 
 
+def test_a_drift_run_can_start_from_the_side_car(spark):
+    """Baseline to document and back: the same table, the same PSI, also of specs that lack what older ones lack."""
+    rng = random.Random(2)
+    made = [(rng.gauss(0, 1) if rng.random() > 0.1 else None, float(rng.randint(0, 4)), rng.choice(["a", "b", None])) for _ in range(300)]
+    train = spark.createDataFrame(made, "x double, d double, c string")
+    live = train.select((F.col("x") * 1.5).alias("x"), "d", F.coalesce("c", F.lit("new")).alias("c"))
+    frozen = drift.freeze(drift.build_baseline(train, ["x", "d"], ["c"]))
+    stats = sinks.baseline_stats(frozen)
+
+    def read(stats):
+        d = scratch_dir(spark, "meta")
+        os.makedirs(d, exist_ok=True)
+        with open(os.path.join(d, "metadata.json"), "w") as f:
+            f.write(sinks.decision_json({"model_version": "v1", "row_count": 300, "baseline_stats": stats}, sort_keys=False))
+        return scans.baseline_of(scans.read_model_metadata(spark, d))
+
+    again = read(stats)
+    key = lambda df: sorted(map(str, df.collect()))
+    assert again.dtypes == frozen.dtypes and key(again) == key(frozen)
+    assert key(drift.psi_table(again, live, ["x", "d"], ["c"])) == key(drift.psi_table(frozen, live, ["x", "d"], ["c"]))
+    legacy = drift.freeze(drift.build_baseline(train, ["x", "d"], ["c"], track_nulls=False))
+    assert key(drift.psi_table(read(sinks.baseline_stats(legacy)), live, ["x", "d"], ["c"])) == key(drift.psi_table(legacy, live, ["x", "d"], ["c"]))
+    del stats["x"]["expected_pct"], stats["x"]["monitored"]
+    bare = {r.feature: r for r in drift.psi_table(read(stats), live, ["x", "d"], ["c"]).collect()}
+    assert not bare["x"].monitored and bare["c"].monitored
+
+
 def test_prediction_shards_only_matching_files_and_range_checked(spark):
     d = scratch_dir(spark, "shards")
     os.makedirs(d, exist_ok=True)
