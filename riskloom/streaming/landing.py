@@ -12,7 +12,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row, SparkSession
+import numpy as np
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -53,27 +54,62 @@ STATE_TTL = dt.timedelta(days=7)
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+# Fixed value: event ids are dealt by their hash over so many keys of state, so that a batch calls the state store a few times
+# a key and not a few times an event.  A checkpoint holds to the number that it began with.
+STATE_KEYS = 2048
+STATE_KEY = "_state_key"
+EPOCH, MICROSECOND = dt.datetime(1970, 1, 1), dt.timedelta(microseconds=1)
+NO_TIME = -(1 << 63)
+HELD = [("id", "<i8"), ("at", "<i8"), ("seen", "<i8")]  # event id, time of its newest copy, when that copy came
+
+
+def state_key() -> Column:
+    """Of an event; those without an id have a key of their own."""
+    return F.when(F.col("event_id").isNull(), F.lit(-1)).otherwise(F.pmod(F.xxhash64("event_id"), F.lit(STATE_KEYS))).cast("int")
+
+
+def _micros(at: dt.datetime | None) -> int:
+    """A row without a time is older than any other."""
+    return NO_TIME if at is None else (at - EPOCH) // MICROSECOND
+
+
 class NewestCopy(StatefulProcessor):
     """Per event id the time of the newest copy so far, kept for a while after its last copy; rows that are no older
-    than it pass (which of equally new ones counts is for the table to say)."""
+    than it pass (which of equally new ones counts is for the table to say).  The ids of a state key are held as one
+    sorted array, read and written once a batch."""
 
     def __init__(self, ttl: dt.timedelta):
         self.ttl = int(ttl.total_seconds() * 1000)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.newest = handle.getValueState("newest", "at timestamp_ntz", self.ttl)
+        self.newest = handle.getValueState("newest", "held binary", self.ttl)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = self.newest.get()[0] if self.newest.exists() else None
-        best: list[Row] = []
+        now = timerValues.getCurrentProcessingTimeInMs()
+        held = np.frombuffer(self.newest.get()[0], HELD) if self.newest.exists() else np.empty(0, HELD)
+        held = held[held["seen"] + self.ttl > now]
+        best: dict[int | None, tuple[int, list[Row]]] = {}
         for row in rows:
-            if best and row.event_timestamp > best[0].event_timestamp:
-                best = []
-            if not best or row.event_timestamp == best[0].event_timestamp:
-                best.append(row)
-        if held is None or best[0].event_timestamp >= held:
-            self.newest.update((best[0].event_timestamp,))
-            yield from best
+            at = _micros(row.event_timestamp)
+            found = best.get(row.event_id)
+            if found is None or at > found[0]:
+                best[row.event_id] = (at, [row])
+            elif at == found[0]:
+                found[1].append(row)
+        new = np.array([(i or 0, at, now) for i, (at, _) in best.items()], HELD)
+        if len(held):
+            place = np.minimum(np.searchsorted(held["id"], new["id"]), len(held) - 1)
+            passes = (held["id"][place] != new["id"]) | (new["at"] >= held["at"][place])
+        else:
+            passes = np.ones(len(new), bool)
+        if passes.any():
+            new = new[passes]
+            rest = held[~np.isin(held["id"], new["id"])]
+            both = np.concatenate([rest, new])
+            self.newest.update((both[np.argsort(both["id"])].tobytes(),))
+            for (_, found), passed in zip(best.values(), passes.tolist(), strict=True):
+                if passed:
+                    yield from found
 
     def close(self) -> None:
         pass
@@ -83,7 +119,8 @@ def newest_copies(events: DataFrame, ttl: dt.timedelta = STATE_TTL) -> DataFrame
     """ST2: the stream without copies that are older than one already seen.  Nothing is late here: state is bounded by
     its time to live, not by a watermark, and a copy that comes after that passes again.  So the result is for a table that
     keeps the newest itself; the state only spares it the bulk of the replays."""
-    return events.groupBy("event_id").transformWithState(NewestCopy(ttl), events.schema, "Update", "ProcessingTime")
+    keyed = events.withColumn(STATE_KEY, state_key())
+    return keyed.groupBy(STATE_KEY).transformWithState(NewestCopy(ttl), keyed.schema, "Update", "ProcessingTime").drop(STATE_KEY)
 
 
 def land_newest(events: DataFrame, table_dir: str, checkpoint_dir: str, ttl: dt.timedelta = STATE_TTL):
@@ -97,7 +134,11 @@ def land_newest(events: DataFrame, table_dir: str, checkpoint_dir: str, ttl: dt.
         table = VersionedTable(batch.sparkSession, table_dir)
         writer = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or checkpoint_dir
         if table.done(writer) < batch_id:
-            merge_newest(table, dedupe_newest(batch), batch=(writer, batch_id))
+            fresh = dedupe_newest(batch).persist()  # read several times; the state is gone through once
+            try:
+                merge_newest(table, fresh, batch=(writer, batch_id))
+            finally:
+                fresh.unpersist()
 
     spark.conf.set(setting, ROCKSDB)  # the state of transformWithState lives there
     try:
