@@ -62,7 +62,7 @@ def st3_upsert(spark, sf_dir):
     p = D.stored(D.predictions(spark, sf_dir))
     again = p.where("customer_id % 2 = 0").withColumns({"churn_probability": F.col("churn_probability") / 2, "predicted_at": F.col("predicted_at") + F.expr("INTERVAL 1 HOUR")})
     for rows in (p, again):
-        rows.write.mode("append").partitionBy("snapshot_date").parquet(src)
+        rows.hint("rebalance", "snapshot_date").write.mode("append").partitionBy("snapshot_date").parquet(src)  # not a file of every task for every day
         stream = spark.readStream.schema(p.schema).option("maxFilesPerTrigger", FILES_PER_TRIGGER).parquet(src)
         landing.upsert_scores(stream, target, ckpt)
     out = VersionedTable(spark, target).read()

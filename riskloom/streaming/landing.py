@@ -185,12 +185,15 @@ def merge_scores(table: VersionedTable, keys: list[str], batch: DataFrame, batch
         return None
     rest = [c for c in batch.columns if c not in keys and c != "predicted_at"]
     newest = F.max(F.struct("predicted_at", *rest)).alias("_n")  # a key's newest score counts
-    batch = batch.groupBy(*keys).agg(newest).select(*keys, "_n.*").select(batch.columns)
-    if not table.exists():
-        return table.replace(batch, batch=(writer, batch_id))
-    dates = [str(r[0]) for r in batch.select("snapshot_date").distinct().collect()]  # touched partitions (few)
-    merged = sinks.merge_by_key(table.read(values=dates).select(*batch.columns), batch, keys)
-    return table.replace(merged, batch=(writer, batch_id))
+    batch = batch.groupBy(*keys).agg(newest).select(*keys, "_n.*").select(batch.columns).persist()  # read several times
+    try:
+        if not table.exists():
+            return table.replace(batch, batch=(writer, batch_id))
+        dates = [str(r[0]) for r in batch.select("snapshot_date").distinct().collect()]  # touched partitions (few)
+        merged = sinks.merge_by_key(table.read(values=dates).select(*batch.columns), batch, keys)
+        return table.replace(merged, batch=(writer, batch_id))
+    finally:
+        batch.unpersist()
 
 
 def upsert_scores(scores: DataFrame, target_dir: str, checkpoint_dir: str, keys: list[str] = ("customer_id", "snapshot_date")):

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators import ml, splits
-from riskloom.plans import sinks
+from riskloom.plans import queries_streaming, sinks
 from riskloom.plans.evaluate import evaluate_stage, rejoin_scores, scratch_dir
 from riskloom.plans.versions import VersionedTable
 from riskloom.sources import derived as D
@@ -18,6 +18,8 @@ from riskloom.streaming import landing
 
 from .conftest import SF_SMALL
 
+derived_stored = D.stored
+
 
 @pytest.mark.parametrize("files", [1, 3])
 def test_landing_loses_no_event(spark, files):
@@ -161,6 +163,17 @@ def test_a_restarted_stream_does_not_repeat_its_batches(spark):
     assert held(table) == [(1, 1, 0.7), (2, 2, 0.2)] and list(table.manifest().batches.values()) == [1]
 
 
+def test_scores_arrive_in_a_file_per_day(spark, monkeypatch):
+    """A small day is one file, however many tasks wrote the rows: a stream of few batches, the later ones merged."""
+    seen = []
+    merge = landing.merge_scores
+    monkeypatch.setattr(landing, "merge_scores", lambda *a: seen.append(merge(*a)) or seen[-1])
+    monkeypatch.setattr(queries_streaming.D, "stored", lambda df: derived_stored(df.repartition(5)))
+    out = queries_streaming.st3_upsert(spark, SF_SMALL)
+    assert seen == [1, 2]
+    assert out.count() == D.predictions(spark, SF_SMALL).count()
+
+
 def test_stratified_folds_are_balanced(spark):
     snap = D.snapshot(spark, SF_SMALL)
     f = splits.stratified_folds(snap, k=5).groupBy("churned", "fold").count().toPandas()
