@@ -38,6 +38,7 @@ SEARCH_SPACE = {
     "maxIter": (50, 500, False, int),
 }
 TRIALS, FOLDS = 100, 5
+ROWS_PER_TASK = 1 << 15  # of training vectors: boosting runs a job for every level of every tree, so a task has to be worth its start
 DEFAULT_PARAMS = {"maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 1.0, "featureSubsetStrategy": 1.0, "maxIter": 100}
 
 
@@ -77,22 +78,37 @@ def prepare(df: DataFrame, numeric: list[str], label_col: str | None = "churned"
     return out
 
 
-def ready_for_training(train: DataFrame, numeric: list[str], categorical: list[str]) -> tuple[DataFrame, int]:
-    """(weighted training rows, the most levels of a categorical).  A numeric column without a
+def ready_for_training(train: DataFrame, numeric: list[str], categorical: list[str]) -> tuple[DataFrame, int, int]:
+    """(weighted training rows, the most levels of a categorical, number of rows).  A numeric column without a
     single value is filled with 0 before imputing: its indicator says all there is to know."""
     ready = prepare(train, numeric)
     seen = ready.agg(
+        F.count(F.lit(1)).alias("rows"),
         *[F.count(F.when(~F.isnan(c), F.col(c))).alias(f"n_{c}") for c in numeric],
         *[F.approx_count_distinct(c, 0.02).alias(f"k_{c}") for c in categorical],
     ).first()
     empty = [c for c in numeric if not seen[f"n_{c}"]]
     ready = ready.withColumns({c: F.lit(0.0) for c in empty}) if empty else ready
-    return with_class_weight(ready), max([int(1.1 * seen[f"k_{c}"]) + 2 for c in categorical], default=0)
+    return with_class_weight(ready), max([int(1.1 * seen[f"k_{c}"]) + 2 for c in categorical], default=0), seen.rows
+
+
+def training_vectors(ready: DataFrame, prepared: PipelineModel, rows: int) -> DataFrame:
+    """Labels, weights and vectors, persisted in as many partitions as the rows are worth: the number
+    of the table behind them says how it was written, and each of boosting's jobs has a task for every one."""
+    parts = max(1, math.ceil(rows / ROWS_PER_TASK))
+    # in order of a hash: sums are added up in the same order each time, however the table was written
+    dealt = ready.withColumn("_h", F.xxhash64(*ready.columns)).repartition(parts).sortWithinPartitions("_h")
+    return prepared.transform(dealt).select(LABEL, WEIGHT, "features").persist()
 
 
 def fit(train: DataFrame, numeric: list[str], categorical: list[str], params: dict | None = None, seed: int = 42) -> PipelineModel:
-    ready, levels = ready_for_training(train, numeric, categorical)
-    return Pipeline(stages=[*feature_stages(numeric, categorical), booster(params, seed, levels)]).fit(ready)
+    ready, levels, rows = ready_for_training(train, numeric, categorical)
+    prepared = Pipeline(stages=feature_stages(numeric, categorical)).fit(ready)
+    vectors = training_vectors(ready, prepared, rows)
+    try:
+        return PipelineModel([*prepared.stages, booster(params, seed, levels).fit(vectors)])
+    finally:
+        vectors.unpersist()
 
 
 def score(model: PipelineModel, df: DataFrame, numeric: list[str], keep: list[str] = ("customer_id",)) -> DataFrame:
@@ -104,10 +120,10 @@ def score(model: PipelineModel, df: DataFrame, numeric: list[str], keep: list[st
 def fold_vectors(folded: DataFrame, numeric: list[str], categorical: list[str], j: int) -> tuple[DataFrame, DataFrame, int]:
     """Fold ``j`` prepared once for all candidates: (training vectors, vectors to score, levels).
     Both are persisted, as boosting passes over them for every level of every tree."""
-    ready, levels = ready_for_training(folded.where(F.col("fold") != j), numeric, categorical)
+    ready, levels, rows = ready_for_training(folded.where(F.col("fold") != j), numeric, categorical)
     model = Pipeline(stages=feature_stages(numeric, categorical)).fit(ready)
     rest = prepare(folded.where(F.col("fold") == j), numeric)
-    return model.transform(ready).select(LABEL, WEIGHT, "features").persist(), model.transform(rest).select(LABEL, "features").persist(), levels
+    return training_vectors(ready, model, rows), model.transform(rest).select(LABEL, "features").persist(), levels
 
 
 def fold_scores(folded: DataFrame, numeric: list[str], categorical: list[str], k: int, candidates: list[dict | None], seed: int = 42, parallelism: int = 4) -> DataFrame:
@@ -135,7 +151,7 @@ def fold_scores(folded: DataFrame, numeric: list[str], categorical: list[str], k
 
 def oof_scores(folded: DataFrame, numeric: list[str], categorical: list[str], k: int = FOLDS, params: dict | None = None, seed: int = 42) -> DataFrame:
     """ML3: out-of-fold scores — fold j is scored by a model fit on the other folds."""
-    return fold_scores(folded, numeric, categorical, k, [params], seed).withColumn("model", F.lit("oof"))
+    return fold_scores(folded, numeric, categorical, k, [params], seed, parallelism=k).withColumn("model", F.lit("oof"))
 
 
 def cv_threshold(folded: DataFrame, numeric: list[str], categorical: list[str], k: int, target_recall: float = metrics.TARGET_RECALL, params: dict | None = None) -> DataFrame:
