@@ -135,13 +135,16 @@ _SCORE_SRC = [
 ]
 
 
-def _scores_on(spark, sf_dir, day):
-    p = D.predictions(spark, sf_dir)
-    return p.where(F.col("snapshot_date") == F.lit(day).cast("date")).select("churn_probability")
+def _scores_on(spark, sf_dir, day, features=None):
+    """The log's scores of a day; ``features``: the stored feature table behind the log.  Without it the day is stored, as
+    baselines and indices go over their rows many times."""
+    p = D.predictions(spark, sf_dir) if features is None else D.score_features(features)
+    rows = p.where(F.col("snapshot_date") == F.lit(day).cast("date")).select("churn_probability")
+    return D.stored(rows) if features is None else rows
 
 
-def _score_baseline(spark, sf_dir):
-    return drift.build_baseline(_scores_on(spark, sf_dir, D.BASELINE_DATE), [drift.SCORE_FEATURE], [])
+def _score_baseline(spark, sf_dir, features=None):
+    return drift.build_baseline(_scores_on(spark, sf_dir, D.BASELINE_DATE, features), [drift.SCORE_FEATURE], [])
 
 
 @register(
@@ -183,11 +186,11 @@ def dr16_decision(spark, sf_dir):
     model baseline, score drift, persistence over the drift history, quality override."""
     from riskloom.plans import jobs
 
-    model_baseline = drift.freeze(_feature_baseline(spark, sf_dir).unionByName(_score_baseline(spark, sf_dir)))
     features = D.stored(D.history(spark, sf_dir))
+    model_baseline = drift.freeze(_feature_baseline(spark, sf_dir).unionByName(_score_baseline(spark, sf_dir, features)))
     return jobs.run_drift_check(
         features, model_baseline, "churn-v2", D.FEATURE_NUMERIC, D.FEATURE_CATEGORICAL,
-        drift_history=D.drift_history(spark, sf_dir), scores=_scores_on(spark, sf_dir, D.CURRENT_DATE),
+        drift_history=D.drift_history(spark, sf_dir), scores=_scores_on(spark, sf_dir, D.CURRENT_DATE, features),
     )
 
 
