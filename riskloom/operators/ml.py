@@ -93,12 +93,10 @@ def ready_for_training(train: DataFrame, numeric: list[str], categorical: list[s
 
 
 def training_vectors(ready: DataFrame, prepared: PipelineModel, rows: int) -> DataFrame:
-    """Labels, weights and vectors, persisted in as many partitions as the rows are worth: the number
+    """Labels, weights and vectors, persisted in no more partitions than the rows are worth: the number
     of the table behind them says how it was written, and each of boosting's jobs has a task for every one."""
     parts = max(1, math.ceil(rows / ROWS_PER_TASK))
-    # in order of a hash: sums are added up in the same order each time, however the table was written
-    dealt = ready.withColumn("_h", F.xxhash64(*ready.columns)).repartition(parts).sortWithinPartitions("_h")
-    return prepared.transform(dealt).select(LABEL, WEIGHT, "features").persist()
+    return prepared.transform(ready).select(LABEL, WEIGHT, "features").coalesce(parts).persist()
 
 
 def fit(train: DataFrame, numeric: list[str], categorical: list[str], params: dict | None = None, seed: int = 42) -> PipelineModel:
