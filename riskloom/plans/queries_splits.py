@@ -108,7 +108,7 @@ _NEW_SCORES_SQL = """src AS (SELECT customer_id, ((customer_id * 104729 + 7919)
 
 
 def _new_scores(spark, sf_dir):
-    p = D.predictions(spark, sf_dir)
+    p = D.stored(D.predictions(spark, sf_dir))  # the log is merged with scores drawn from it, which are read twice
     s = ((F.col("customer_id") * 104729 + 7919) % 997) / F.lit(997.0)
     src = p.where((F.col("snapshot_date") == F.lit("2024-01-30").cast("date")) & (F.col("churn_probability") >= 0.5)).select(
         "customer_id", s.alias("churn_probability"), (s >= 0.45).alias("churn_prediction"), "snapshot_date"
